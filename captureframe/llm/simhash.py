@@ -101,6 +101,15 @@ def _near(level: tuple[np.ndarray, ...], a: np.ndarray, b: np.ndarray, max_bits:
     return (apart <= max_bits) & (first[b] <= last[a]) & (first[a] <= last[b])
 
 
+def _settled(levels: list[tuple[np.ndarray, ...]], label: np.ndarray) -> list[np.ndarray]:
+    """Per level and node: the group that all its entries have joined, or -1. Two nodes of one group need no visit."""
+    out = []
+    for start, *_ in levels:
+        low = np.minimum.reduceat(label, start)
+        out.append(np.where(low == np.maximum.reduceat(label, start), low, -1))
+    return out
+
+
 def index_links(codes: np.ndarray, roots: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Links (positions i, j) that span the same components as all pairs of equal root within max_bits."""
     order = np.lexsort((gray_rank(codes), roots))
@@ -108,6 +117,7 @@ def index_links(codes: np.ndarray, roots: np.ndarray, max_bits: int) -> tuple[np
     levels = _levels(codes, roots)
     parent = np.arange(len(codes))
     label, joined = parent.copy(), 0
+    settled = _settled(levels, label)
     pairs_out: list[tuple[int, int]] = []
 
     def find(i: int) -> int:
@@ -131,7 +141,7 @@ def index_links(codes: np.ndarray, roots: np.ndarray, max_bits: int) -> tuple[np
         inside = (left < size) & (right < size) & (left <= right)
         left, right = left[inside], right[inside]
         if at:
-            ok = _near(levels[at - 1], left, right, max_bits)
+            ok = _near(levels[at - 1], left, right, max_bits) & ((settled[at - 1][left] < 0) | (settled[at - 1][left] != settled[at - 1][right]))
             if ok.any():
                 stack.append((at - 1, left[ok], right[ok]))
             continue
@@ -158,6 +168,7 @@ def index_links(codes: np.ndarray, roots: np.ndarray, max_bits: int) -> tuple[np
                     break
                 parent = up
             label = parent.copy()
+            settled = _settled(levels, label)
     if not pairs_out:
         return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
     got = np.array(pairs_out, dtype=np.int64)
