@@ -129,7 +129,9 @@ def index_links(codes: np.ndarray, roots: np.ndarray, max_bits: int) -> tuple[np
     stack = [(len(levels) - 1, np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64))]
     while stack:
         at, a, b = stack.pop()
-        if len(a) > FRONTIER // (FANOUT * FANOUT) and at:
+        open_ = (settled[at][a] < 0) | (settled[at][a] != settled[at][b])
+        a, b = a[open_], b[open_]
+        if len(a) > FRONTIER // (LEAF * LEAF):
             half = len(a) // 2
             stack += [(at, a[:half], b[:half]), (at, a[half:], b[half:])]
             continue
@@ -141,7 +143,7 @@ def index_links(codes: np.ndarray, roots: np.ndarray, max_bits: int) -> tuple[np
         inside = (left < size) & (right < size) & (left <= right)
         left, right = left[inside], right[inside]
         if at:
-            ok = _near(levels[at - 1], left, right, max_bits) & ((settled[at - 1][left] < 0) | (settled[at - 1][left] != settled[at - 1][right]))
+            ok = _near(levels[at - 1], left, right, max_bits)
             if ok.any():
                 stack.append((at - 1, left[ok], right[ok]))
             continue
