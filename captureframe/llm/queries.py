@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from captureframe.llm import binary_tokens, packing, simhash
+from captureframe.llm import binary_tokens, packing, simhash, warc
 from captureframe.llm.shared import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,22 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(read_table(spark, sf_dir, "documents"), capacity=4096, end_id=1)
 
 
+@query(
+    "op5_zip_warc",
+    """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+    d AS (SELECT page_id, cast(octet_length(encode(html)) AS BIGINT) AS n, sha256(html) AS h FROM p),
+    f AS (SELECT h, min(page_id) AS first_id FROM d WHERE n >= 100 GROUP BY h)
+    SELECT page_id, n AS payload_bytes, h AS payload_digest,
+           CASE WHEN first_id IS NULL OR first_id = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+    FROM d LEFT JOIN f USING (h)
+    """,
+)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read_table(spark, sf_dir, "pages"), min_revisit=100).drop("target_uri")
+
+
 @query("op7_ranked_token_files")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary_tokens.round_trip(read_table(spark, sf_dir, "documents"), end_id=2)
