@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from captureframe.llm import binary_tokens, decontaminate, packing, simhash, url_graph, warc
+from captureframe.llm import binary_tokens, decontaminate, packing, simhash, toxicity, url_graph, warc
 from captureframe.llm.shared import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
+@query("op1_nnpu_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), folds=5)
+
+
 @query("op3_best_fit_packing")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(read_table(spark, sf_dir, "documents"), capacity=4096, end_id=1)
