@@ -71,7 +71,7 @@ def train_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps
     return theta[:n], float(theta[n])
 
 
-def learn(docs: DataFrame, labels: DataFrame, folds: int = 5, positives: int = 8000, unlabelled: int = 24000, features: int = 256, least: int = 3) -> tuple[dict[str, float], float]:
+def learn(docs: DataFrame, labels: DataFrame, folds: int = 5, positives: int = 8000, unlabelled: int = 24000, features: int = 256, least: int = 4, surprise: float = 12.0) -> tuple[dict[str, float], float]:
     """(weight of each word, bias), from the rows whose fold is not 0."""
     spark = docs.sparkSession
     trusted = labels.where(fold(F.col("doc_id"), folds) != 0)
@@ -82,8 +82,8 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = 5, positives: int = 8
     toxic_ids = trusted.where("toxic = 1").select("doc_id").distinct().orderBy(order).limit(positives)
     some_ids = docs.select("doc_id").where(fold(F.col("doc_id"), folds) != 0).orderBy(order).limit(unlabelled).distinct()
     picked = written(toxic_ids.select("doc_id", F.lit(True).alias("toxic_row"), F.lit(False).alias("any_row")).union(some_ids.select("doc_id", F.lit(False), F.lit(True))).groupBy("doc_id").agg(F.max("toxic_row").alias("toxic_row"), F.max("any_row").alias("any_row")), "picked")
-    # At most positives + unlabelled ids: bounded by the parameters.
-    texts = written(docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "doc_id"), "sample").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # At most positives + unlabelled ids: bounded by the parameters. A copied text counts once, so that its words are no evidence by themselves.
+    texts = written(docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "doc_id").groupBy("text").agg(F.max("toxic_row").alias("toxic_row"), F.max("any_row").alias("any_row")), "sample").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         toxic, other = Counter(), Counter()
@@ -100,9 +100,10 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = 5, positives: int = 8
     totals = texts.agg(F.count_if("toxic_row"), F.count_if("any_row")).first()
     # `u` of a word misses tasks in which no toxic row had it, so it is counted again for the words that are kept.
     hits = texts.mapInPandas(count, "word string, p long, u long").groupBy("word").agg(F.sum("p").alias("p"), F.sum("u").alias("u")).where(F.col("p") >= least)
-    share_p, share_u = F.col("p") / totals[0], (F.col("u") + 1) / (totals[1] + 1)
-    gap = (share_p - share_u) / F.sqrt(share_u * (1 - F.least(share_u, F.lit(0.999))) / totals[0] + 1e-12)
-    chosen = [r["word"] for r in hits.select("word", gap.alias("gap")).where("gap > 4").orderBy(F.desc("gap"), "word").limit(features).collect()]
+    expected = (F.col("u") + 1) / (totals[1] + 1) * totals[0]
+    evidence = F.col("p") * F.log(F.col("p") / expected) - (F.col("p") - expected)  # how much likelier than by chance
+    ranked = hits.where(F.col("p") > expected).select("word", evidence.alias("evidence")).where(F.col("evidence") > surprise)
+    chosen = [r["word"] for r in ranked.orderBy(F.desc("evidence"), "word").limit(features).collect()]
     if not chosen:
         drop_table(texts)
         return {}, float(np.log(prior / (1 - prior)))
