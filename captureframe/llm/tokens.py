@@ -11,6 +11,7 @@ a word costs one pass of the merge table however it is written.
 from __future__ import annotations
 
 import re
+import struct
 
 import numpy as np
 
@@ -19,59 +20,75 @@ _PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([!-&(-/
 _WHOLE = ("<|", "\x1c", "\x1d", "\x1e", "\x1f")
 
 
+class _Chunks(dict):
+    """Chunk -> ids. A chunk that is not there is encoded; those that come again are kept, in two generations."""
+
+    def __init__(self, owner: Encoder):
+        super().__init__()
+        self.owner, self.old = owner, {}
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.old.get(chunk)
+        if ids is None:
+            ids, again = self.owner.chunk_ids(chunk)
+            if not again:  # most words occur once
+                return ids
+        if len(self) >= self.owner.most:
+            self.old = dict(self)
+            self.clear()
+        self[chunk] = ids
+        return ids
+
+
 class Encoder:
-    """encode(text) -> ids as little-endian unsigned 32-bit bytes."""
+    """encode(text) -> ids as little-endian unsigned 32-bit bytes. Tables hold two generations of ``most`` entries."""
 
-    def __init__(self, path: str, most: int = 600_000, longest: int = 64):
+    def __init__(self, path: str, most: int = 400_000, longest: int = 64):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.most, self.longest = most, longest
-        self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        from tokenizers.pre_tokenizers import ByteLevel
-
         spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.spelt = {c: spell(chr(c))[0][0] for c in range(0xC0, 0x100)}
-
-    def _word(self, word: str) -> bytes:
-        """A run of plain lower-case letters, straight through the tokenizer's merge table."""
-        got = self.words.get(word)
-        if got is None:
-            got = np.array([t.id for t in self.tokenizer.model.tokenize(word.translate(self.spelt))], dtype="<u4").tobytes()
-            if len(self.words) >= 2 * self.most:
-                self.words.clear()
-            if len(word) <= self.longest:
-                self.words[word] = got
-        return got
+        self.words: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
+        self.find = _Chunks(self).__getitem__
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _missing(self, chunk: str) -> bytes:
+    def _word(self, word: str) -> tuple[bytes, bool]:
+        """A run of plain lower-case letters, straight through the tokenizer's merge table; and whether it was known."""
+        got = self.words.get(word)
+        if got is not None:
+            return got, True
+        got = self.old_words.get(word)
+        known = got is not None
+        if not known:
+            spelt = word if word.isascii() else word.translate(self.spelt)
+            ids = [t.id for t in self.tokenizer.model.tokenize(spelt)]
+            got = struct.pack(f"<{len(ids)}I", *ids)
+        if len(word) <= self.longest:
+            if len(self.words) >= 2 * self.most:
+                self.old_words, self.words = self.words, {}
+            self.words[word] = got
+        return got, known
+
+    def chunk_ids(self, chunk: str) -> tuple[bytes, bool]:
+        """The ids of a chunk, and whether it is worth a place in the table."""
         plain = _PLAIN.fullmatch(chunk)
-        if plain:
-            word = plain[1].lower()
-            again = word in self.words
-            ids = self._word(word) + (self.encode(plain[2]) if plain[2] else b"")
-            if not again:  # most words occur once: only those that come again get a place among the chunks
-                return ids
-        else:
-            ids = self._ids(chunk)
-        if len(chunk) <= self.longest:
-            if len(self.known) >= self.most:
-                self.known.clear()
-            self.known[chunk] = ids
-        return ids
+        if not plain:
+            return self._ids(chunk), len(chunk) <= self.longest
+        ids, known = self._word(plain[1].lower())
+        return ids + (self.find(plain[2]) if plain[2] else b""), known and len(chunk) <= self.longest
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
         if any(x in text for x in _WHOLE):
             return self._ids(text)
-        chunks = text.split()
-        known = self.known.get
-        return b"".join([known(c) or self._missing(c) for c in chunks])
+        return b"".join(map(self.find, text.split()))
 
 
 _ENCODERS: dict[str, Encoder] = {}
