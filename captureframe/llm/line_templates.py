@@ -15,8 +15,8 @@ under the least count can hold no recurring template and go no further. Pass 2 k
 of the corpus, and finds templates and what recurs. Pass 3 takes the lines out of their documents. Common lines are folded
 within each task before every shuffle, so no task gathers a line's occurrences.
 
-Defined results: null text stays null, with no lines; empty and white-space lines have no tokens and are kept; a document may
-end up with empty text; repeated rows each get the same result; columns of the input all stay, and ``n_lines`` and ``n_dropped``
+Defined results: null text stays null, with no lines; empty and white-space lines have no tokens and are kept; a document of
+which nothing would be left stays as it is (that is a copied document, not one with lines from elsewhere); repeated rows each get the same result; columns of the input all stay, and ``n_lines`` and ``n_dropped``
 are added or replaced; an empty table gives no rows.
 """
 
@@ -83,8 +83,7 @@ def drop_recurring(docs: DataFrame, lead: int = 3, short: int = 3, long: int = 8
     joined = keyed.join(gone, ["__key", "__text_key"], "left")
     split = F.split(text, "\n")
     rest = F.array_join(F.filter(split, lambda line, i: ~F.array_contains("__gone", i)), "\n")
-    n_lines = F.when(text.isNotNull(), F.size(split)).otherwise(0).cast("long")
-    n_dropped = F.coalesce(F.size("__gone"), F.lit(0)).cast("long")
-    joined = joined.withColumns({"n_lines": n_lines, "n_dropped": F.when(F.col("__gone").isNotNull(), n_dropped).otherwise(F.lit(0).cast("long"))})
-    joined = joined.withColumn("text", F.when(F.col("__gone").isNotNull(), rest).otherwise(text))
-    return joined.select(*docs.drop("n_lines", "n_dropped").columns, "n_lines", "n_dropped")
+    lines_of = F.when(text.isNotNull(), F.size(split)).otherwise(0).cast("long")
+    left = F.coalesce(rest.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))  # else the document is a copy, not one with lines from elsewhere
+    dropped = F.when(left, F.size("__gone")).otherwise(0).cast("long")
+    return joined.select(*[F.when(left, rest).otherwise(text).alias(c) if c == "text" else F.col(c) for c in docs.drop("n_lines", "n_dropped").columns], lines_of.alias("n_lines"), dropped.alias("n_dropped"))

@@ -121,10 +121,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
               FROM kinds JOIN stems USING (n, lead)),
     hit AS (SELECT n, lead, grp FROM k JOIN named USING (n, lead, template) GROUP BY n, lead, grp
             HAVING count(DISTINCT sig) >= CASE WHEN n >= 8 THEN 3 WHEN n >= 3 THEN 10 ELSE 9e18 END AND count(DISTINCT sig) >= 0.2::DOUBLE * count(DISTINCT text_key)),
-    gone AS (SELECT doc_id, list(DISTINCT line_no) AS gone FROM k JOIN named USING (n, lead, template) JOIN hit USING (n, lead, grp) GROUP BY doc_id)
-    SELECT t.doc_id, cast(coalesce(len(ls), 0) AS BIGINT) AS n_lines, cast(coalesce(len(gone), 0) AS BIGINT) AS n_dropped,
-           sha256(coalesce(CASE WHEN gone IS NULL THEN text ELSE array_to_string(list_transform(list_filter(range(len(ls)), lambda i: NOT list_contains(gone, i)), lambda i: ls[i + 1]), chr(10)) END, '')) AS kept_sha256
-    FROM t LEFT JOIN gone ON t.doc_id = gone.doc_id
+    gone AS (SELECT doc_id, list(DISTINCT line_no) AS gone FROM k JOIN named USING (n, lead, template) JOIN hit USING (n, lead, grp) GROUP BY doc_id),
+    r AS (SELECT t.doc_id, text, ls, gone, array_to_string(list_transform(list_filter(range(len(ls)), lambda i: NOT list_contains(gone, i)), lambda i: ls[i + 1]), chr(10)) AS rest FROM t LEFT JOIN gone ON t.doc_id = gone.doc_id),
+    f AS (SELECT *, coalesce(gone IS NOT NULL AND regexp_matches(rest, '[^\x20\x09-\x0D]'), false) AS took FROM r)
+    SELECT doc_id, cast(coalesce(len(ls), 0) AS BIGINT) AS n_lines, cast(CASE WHEN took THEN len(gone) ELSE 0 END AS BIGINT) AS n_dropped,
+           sha256(coalesce(CASE WHEN took THEN rest ELSE text END, '')) AS kept_sha256
+    FROM f
     """,
 )
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
