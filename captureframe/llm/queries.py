@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from captureframe.llm import binary_tokens, decontaminate, line_templates, packing, simhash, toxicity, url_graph, warc
+from captureframe.llm import binary_tokens, context_mixing, decontaminate, line_templates, packing, simhash, toxicity, url_graph, warc
 from captureframe.llm.shared import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), folds=5)
 
 
+@query("op2_context_mixing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_mixing.score(read_table(spark, sf_dir, "documents"), folds=7, held_fold=2)
+
+
 @query("op3_best_fit_packing")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(read_table(spark, sf_dir, "documents"), capacity=4096, end_id=1)
