@@ -35,6 +35,11 @@ def _bounded(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_TERMS else df
 
 
+def _once(col: Column, name: str) -> Column:
+    """``col`` as a generated column: computed once for a row, where a projection would be copied into each use in a lambda."""
+    return F.explode(F.array(col)).alias(name)
+
+
 def items_of(benchmark: DataFrame) -> DataFrame:
     """(item, item_id, words, n): one row for each test item that has words, kept in the shared folder."""
     words = words_of(ascii_lower(F.col("text").cast("string")))
@@ -93,16 +98,18 @@ def exact_matches(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> Dat
     per_doc = aligned.groupBy("key", "text_key").agg(F.collect_list(F.struct("item_id", "words", "n", "start")).alias("alignments"))
     joined = docs.join(per_doc, ["key", "text_key"], "left")
     own = F.when(F.col("alignments").isNotNull(), words_of(ascii_lower(F.col("text"))))
-    joined = joined.select("doc_id", "alignments", own.alias("own"), F.size(words_of(F.col("text"))).alias("n_words"))
+    worded = joined.select("doc_id", "alignments", F.size(words_of(F.col("text"))).alias("n_words"), _once(own, "own"))
 
-    def occurrences(a: Column) -> Column:
+    def compared(a: Column) -> Column:
         same = F.array_join(F.transform(F.sequence(F.lit(0), a["n"] - 1), lambda j: F.when(F.get(F.col("own"), a["start"] + j) == F.get(a["words"], j), "1").otherwise("0")), "")
-        k = F.least(F.lit(width), a["n"])
-        at = F.filter(F.sequence(F.lit(0), a["n"] - k), lambda s: same.substr(s + 1, k) == F.expr(f"repeat('1', {width})").substr(F.lit(1), k))
-        places = F.flatten(F.transform(at, lambda s: F.sequence(a["start"] + s, a["start"] + s + k - 1)))
-        return F.struct(a["item_id"].alias("item_id"), places.alias("places"))
+        return F.struct(a["item_id"].alias("item_id"), a["start"].alias("start"), a["n"].alias("n"), F.least(F.lit(width), a["n"]).alias("k"), same.alias("same"))
+
+    def occurrences(a: Column) -> Column:
+        at = F.filter(F.sequence(F.lit(0), a["n"] - a["k"]), lambda s: a["same"].substr(s + 1, a["k"]) == F.lit("1" * width).substr(F.lit(1), a["k"]))
+        return F.struct(a["item_id"].alias("item_id"), F.flatten(F.transform(at, lambda s: F.sequence(a["start"] + s, a["start"] + s + a["k"] - 1))).alias("places"))
 
-    found = joined.withColumn("found", F.filter(F.transform("alignments", occurrences), lambda x: F.size(x["places"]) > 0))
+    marked = worded.select("doc_id", "n_words", _once(F.transform("alignments", compared), "marked"))
+    found = marked.select("doc_id", "n_words", _once(F.filter(F.transform("marked", occurrences), lambda x: F.size(x["places"]) > 0), "found"))
     none = F.array()
     return found.select(
         "doc_id",
