@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from captureframe.llm import binary_tokens, context_mixing, decontaminate, line_templates, packing, simhash, toxicity, url_graph, warc
+from captureframe.llm import binary_tokens, context_mixing, decontaminate, line_templates, packing, simhash, topk_search, toxicity, url_graph, warc
 from captureframe.llm.shared import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,6 +139,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+@query("op9_block_max_bm25")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    asked = docs.where(F.col("doc_id") % 50 == 0).select(F.col("doc_id").alias("query_id"), "text")
+    return topk_search.search(docs, asked, k=10)
+
+
 @query("op10_simhash")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
