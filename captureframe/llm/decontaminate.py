@@ -87,18 +87,23 @@ def postings(docs: DataFrame, seeds: DataFrame, rows: int) -> DataFrame:
     return placed.join(_bounded(seeds, rows), "term").select("key", "text_key", "item", "pos", "need", (F.col("place") - F.col("pos")).alias("start"))
 
 
-def exact_matches(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
-    """(doc_id, n_words, hits, items): per document the places of hit words, and the item_ids with occurring windows."""
-    docs = _keyed(docs)
+def alignments(docs: DataFrame, benchmark: DataFrame, width: int) -> DataFrame:
+    """(key, text_key, alignments): where items may stand in a document, by agreeing seeds. ``docs`` is keyed."""
     items = items_of(benchmark)
     seeds = written(seed_terms(items, seed_windows(docs, items, width)), "seeds")
     lists = postings(docs, seeds, seeds.count())
     starts = lists.groupBy("key", "text_key", "item", "start").agg(F.count_distinct("pos").alias("agree"), F.min("need").alias("need")).where("agree >= need")
     aligned = starts.join(_bounded(items, items.count()), "item")
-    per_doc = aligned.groupBy("key", "text_key").agg(F.collect_list(F.struct("item_id", "words", "n", "start")).alias("alignments"))
+    return aligned.groupBy("key", "text_key").agg(F.collect_list(F.struct("item_id", "words", "n", "start")).alias("alignments"))
+
+
+def exact_matches(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
+    """(doc_id, text_key, n_words, hits, items): per document the places of hit words, and the item_ids with occurring windows."""
+    docs = _keyed(docs)
+    per_doc = alignments(docs, benchmark, width)
     joined = docs.join(per_doc, ["key", "text_key"], "left")
     own = F.when(F.col("alignments").isNotNull(), words_of(ascii_lower(F.col("text"))))
-    worded = joined.select("doc_id", "alignments", F.size(words_of(F.col("text"))).alias("n_words"), _once(own, "own"))
+    worded = joined.select("doc_id", "text_key", "alignments", F.size(words_of(F.col("text"))).alias("n_words"), _once(own, "own"))
 
     def compared(a: Column) -> Column:
         same = F.array_join(F.transform(F.sequence(F.lit(0), a["n"] - 1), lambda j: F.when(F.get(F.col("own"), a["start"] + j) == F.get(a["words"], j), "1").otherwise("0")), "")
@@ -108,11 +113,12 @@ def exact_matches(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> Dat
         at = F.filter(F.sequence(F.lit(0), a["n"] - a["k"]), lambda s: a["same"].substr(s + 1, a["k"]) == F.lit("1" * width).substr(F.lit(1), a["k"]))
         return F.struct(a["item_id"].alias("item_id"), F.flatten(F.transform(at, lambda s: F.sequence(a["start"] + s, a["start"] + s + a["k"] - 1))).alias("places"))
 
-    marked = worded.select("doc_id", "n_words", _once(F.transform("alignments", compared), "marked"))
-    found = marked.select("doc_id", "n_words", _once(F.filter(F.transform("marked", occurrences), lambda x: F.size(x["places"]) > 0), "found"))
+    marked = worded.select("doc_id", "text_key", "n_words", _once(F.transform("alignments", compared), "marked"))
+    found = marked.select("doc_id", "text_key", "n_words", _once(F.filter(F.transform("marked", occurrences), lambda x: F.size(x["places"]) > 0), "found"))
     none = F.array()
     return found.select(
         "doc_id",
+        "text_key",
         F.col("n_words").cast("long").alias("n_words"),
         F.coalesce(F.array_distinct(F.flatten(F.transform("found", lambda x: x["places"]))), none.cast("array<int>")).alias("hits"),
         F.coalesce(F.array_sort(F.array_distinct(F.array_compact(F.transform("found", lambda x: x["item_id"])))), none.cast("array<string>")).alias("items"),
@@ -139,3 +145,11 @@ def digest(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
     found = exact_matches(docs, benchmark, width)
     n_hit = F.size("hits").cast("long")
     return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
+def without_matches(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
+    """The rows of ``docs`` in which no window of an item occurs; all columns stay. Rows without an id or text stay too if they match nothing."""
+    found = exact_matches(docs, benchmark, width).where(F.size("hits") > 0).select(F.coalesce("doc_id", F.lit(MISSING_ID)).alias("__key"), "text_key").distinct()
+    hit = written(found.withColumnRenamed("text_key", "__text_key"), "matched")
+    keyed = docs.withColumns({"__key": F.coalesce(F.col("doc_id").cast("long"), F.lit(MISSING_ID)), "__text_key": F.xxhash64(F.col("text").cast("string"))})
+    return keyed.join(hit, ["__key", "__text_key"], "left_anti").select(*docs.columns)

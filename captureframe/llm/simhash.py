@@ -37,25 +37,30 @@ LEAF, FANOUT = 16, 8
 FRONTIER = 1 << 18
 
 
-def fingerprint_of(text: str | None, shingle: int = 3) -> int:
-    """The fingerprint of one text as an unsigned integer."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return 0
-    if len(words) <= shingle:
-        hashes = [xxhash.xxh64_intdigest(b" ".join(words), SEED)]
-    else:
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(x, SEED) for x in map(b" ".join, zip(*(words[k:] for k in range(shingle)), strict=False))]
-    # Whole blocks of hashes are unpacked to bits and summed; blocks keep memory flat for very long texts.
+def _bits_of(hashes: np.ndarray) -> int:
+    """SimHash of shingle hashes: the bits set in more than half of them. Blocks keep memory flat for very long texts."""
     total = np.zeros(64, dtype=np.int64)
     for at in range(0, len(hashes), 65536):
-        block = np.array(hashes[at : at + 65536], dtype="<u8")
-        bits = np.unpackbits(block.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        total += bits.sum(axis=0, dtype=np.int64)
+        block = np.ascontiguousarray(hashes[at : at + 65536], dtype="<u8")
+        total += np.unpackbits(block.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(total * 2 > len(hashes), bitorder="little").tobytes(), "little")
 
 
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """XXH64 of each shingle, repeats included; of the whole sequence where it is shorter; none without words."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if len(words) <= shingle:
+        return np.array([xxhash.xxh64_intdigest(b" ".join(words), SEED)] if words else [], dtype="<u8")
+    digest = xxhash.xxh64_intdigest
+    return np.array([digest(x, SEED) for x in map(b" ".join, zip(*(words[k:] for k in range(shingle)), strict=False))], dtype="<u8")
+
+
+def fingerprint_of(text: str | None, shingle: int = 3) -> int:
+    """The fingerprint of one text as an unsigned integer."""
+    hashes = shingle_hashes(text, shingle)
+    return _bits_of(hashes) if len(hashes) else 0
+
+
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """(doc_id, fp): fp is the fingerprint as a signed long; one row per document row."""
 
@@ -252,3 +257,78 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, hot_ro
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+
+
+def section_prints(text: str | None, shingle: int, sections: int = 12, wanted: int = 4) -> list[int]:
+    """SimHashes of sections of a text's shingle set, one long each.
+
+    The set is dealt by hash into about ``wanted`` shingles a section, the number of sections being a power of two (both neighbours of the
+    ideal one are taken, so that texts of slightly different length share one), and the first ``sections`` of each dealing are
+    printed. An edit leaves most sections of a near copy as they were: of texts that share 0.8 of their shingles a given section is
+    equal with a chance of about 0.4, some of twelve with more than 0.99.
+    """
+    hashes = np.unique(shingle_hashes(text, shingle))
+    if not len(hashes):
+        return [0]
+    ideal = np.log2(max(1.0, len(hashes) / wanted))
+    out = []
+    for level in sorted({int(np.floor(ideal)), int(np.floor(ideal)) + 1}):
+        place = (hashes * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - level)).astype(np.int64) if level else np.zeros(len(hashes), dtype=np.int64)
+        for k in range(min(sections, 1 << level)):
+            own = hashes[place == k]
+            if len(own):
+                out.append(xxhash.xxh64_intdigest(f"{level} {k} {_bits_of(own)} {len(own)}".encode(), SEED))
+    return out
+
+
+def similarity_of(a: str | None, b: str | None, shingle: int) -> float:
+    """Jaccard similarity of two texts' shingle sets; 1 where both are empty."""
+    x, y = np.unique(shingle_hashes(a, shingle)), np.unique(shingle_hashes(b, shingle))
+    if not len(x) and not len(y):
+        return 1.0
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / (len(x) + len(y) - both)
+
+
+def one_per_group(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each group of texts linked by ``similarity`` or more, the row of the least doc_id stays.
+
+    Whole-text SimHashes a few bits apart find copies with hardly an edit; for a similarity of 0.8 the bits that differ are too many
+    to be an index key. So sections of the shingle set are printed instead (see ``section_prints``) and looked up exactly; every
+    text that shares a print with others is compared, whole, with the least of them, and pairs under ``similarity`` are no links.
+    Equal texts are folded first. Null doc_ids come last in a group; a repeated row stays once.
+    """
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    keyed = docs.withColumn("__key", F.sha2(text.cast("binary"), 256))
+    first = keyed.groupBy("__key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("null_id"), F.col("doc_id").cast("long").alias("doc_id"))).alias("first"))
+    # Texts go by a long: the place of the first 15 hexadecimal digits of their digest.
+    number = F.conv(F.substring("key", 1, 15), 16, 10).cast("long")
+    texts = keyed.select(F.col("__key").alias("key"), text.alias("text")).withColumn("node", number)
+
+    def prints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            got = [np.array(section_prints(t, shingle), dtype=np.uint64).astype(np.int64) for t in pdf["text"]]
+            yield pd.DataFrame({"node": np.repeat(pdf["node"].to_numpy(), [len(x) for x in got]), "print": np.concatenate(got) if got else []})
+
+    sections = written(texts.select("node", "text").mapInPandas(prints, "node long, print long").distinct(), "sections")
+    least = sections.groupBy("print").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
+    pairs = written(sections.join(least, "print").where("a < node").select("a", F.col("node").alias("b")).distinct(), "pairs")
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    needed = written(texts.join(ends, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "compared")
+    both = pairs.join(needed.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").join(needed.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            near = [similarity_of(x, y, shingle) >= similarity for x, y in zip(pdf["text_a"], pdf["text_b"], strict=True)]
+            yield pdf.loc[near, ["a", "b"]]
+
+    roots = connected(both.mapInPandas(compare, "a long, b long"))
+    grouped = first.select(F.col("__key").alias("key"), "first").withColumn("node", number).join(roots, "node", "left")
+    best = grouped.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min_by(F.struct("key", "first"), F.struct("first", "key")).alias("kept"))
+    kept = written(best.select(F.col("kept.key").alias("__key"), F.col("kept.first.doc_id").alias("__id")), "kept")
+    # Rows that repeat a kept row are told apart only by their place, so one of them is taken.
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
+    rows = keyed.join(kept, "__key").where(same)
+    columns = docs.columns
+    out = rows.groupBy("__key").agg(F.first(F.struct(*[F.col(c) for c in columns])).alias("row"))
+    return out.select(*[F.col(f"row.`{c}`").alias(c) for c in columns])
