@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from captureframe.plans import measure, sequence  # noqa: F401
+from captureframe.plans import measure, sequence, statistics  # noqa: F401
 from captureframe.plans.registry import ORACLES, QUERIES  # noqa: F401
