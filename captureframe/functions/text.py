@@ -46,10 +46,14 @@ def _object(text: str | None) -> str | None:
     return None
 
 
-@F.pandas_udf("string")
-def first_object(texts: pd.Series) -> pd.Series:
+def first_object(text: Column | str) -> Column:
     """Vectorised balanced scan; only texts that plain parsing rejects need it."""
-    return texts.map(_object)
+
+    @F.pandas_udf("string")
+    def scan(texts: pd.Series) -> pd.Series:
+        return texts.map(_object)
+
+    return scan(text)
 
 
 def retry_delay(text: Column) -> Column:
