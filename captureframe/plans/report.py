@@ -14,7 +14,7 @@ from captureframe.sources.tables import findings, table
 DAMAGE = """
     d AS (SELECT 'dmg_' || c || '_' || lpad(event_id::VARCHAR, 6, '0') AS damage_id, c AS damage_class,
           CASE event_id % 4 WHEN 0 THEN 'ceiling' WHEN 1 THEN 'floor' ELSE 'room_' || lpad((user_id % 10)::VARCHAR, 2, '0') || '_w' || (event_id % 4) END AS surface_id,
-          round(value / 100, 4) AS v, round(value / 100 * 0.5, 4) AS lo, round(value / 100 * 1.5, 4) AS hi
+          round(value / 97, 4) AS v, round(value / 97 * 0.5, 4) AS lo, round(value / 97 * 1.5, 4) AS hi
           FROM (SELECT *, CASE event_type WHEN 'error' THEN 'water_stain' WHEN 'view' THEN 'mold' WHEN 'click' THEN 'crack' END AS c FROM events) WHERE c IS NOT NULL)"""
 RULE_ROWS = ", ".join("('{}', '{}', '{}')".format(*r[:3]) for r in capture.RULES)
 #: Rounding is half-up on a double's decimal text, as Spark's is.

@@ -31,6 +31,6 @@ def findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.when(F.col("event_type") == "error", "water_stain").when(F.col("event_type") == "view", "mold").when(F.col("event_type") == "click", "crack")
     surface = F.when(F.col("event_id") % 4 == 0, "ceiling").when(F.col("event_id") % 4 == 1, "floor").otherwise(F.format_string("room_%02d_w%d", F.col("user_id") % 10, F.col("event_id") % 4))
     found = table(spark, sf_dir, "events").withColumn("damage_class", kind).where("damage_class IS NOT NULL")
-    v = F.col("value") / 100
+    v = F.col("value") / 97
     extent = F.struct(F.round(v, 4).alias("value"), F.round(v * 0.5, 4).alias("lo"), F.round(v * 1.5, 4).alias("hi"), F.lit(0.90).alias("confidence_level"), F.lit("vlm_estimate").alias("method"), F.lit("photo").alias("tier"))
     return found.select(F.format_string("dmg_%s_%06d", "damage_class", "event_id").alias("damage_id"), "damage_class", surface.alias("surface_id"), extent.alias("extent"))
