@@ -21,7 +21,7 @@ RULE_ROWS = ", ".join("('{}', '{}', '{}')".format(*r[:3]) for r in capture.RULES
 ITEM_ROWS = ", ".join(f"('{c}', {k}, '{d}', '{u}', {m}::DOUBLE, {b}::DOUBLE)" for c, k, d, u, m, b in capture.CATALOGUE)
 SCOPE = f""",
     c(damage_class, item_no, item_description, unit, multiplier, base_cost) AS (VALUES {ITEM_ROWS}),
-    s AS (SELECT 'scope_' || damage_id || '_' || lpad(item_no::VARCHAR, 2, '0') AS item_id, d.*, item_description, unit, round(cast(cast(v * multiplier AS VARCHAR) AS DECIMAL(30, 17)), 3)::DOUBLE AS quantity, round(cast(cast(lo * multiplier AS VARCHAR) AS DECIMAL(30, 17)), 3)::DOUBLE AS quantity_lo, round(cast(cast(hi * multiplier AS VARCHAR) AS DECIMAL(30, 17)), 3)::DOUBLE AS quantity_hi, base_cost AS unit_cost_est FROM d JOIN c USING (damage_class))"""
+    s AS (SELECT 'scope_' || damage_id || '_' || lpad(item_no::VARCHAR, 2, '0') AS item_id, d.*, item_description, unit, round(cast(cast(v * multiplier AS VARCHAR) AS DECIMAL(38, 24)), 3)::DOUBLE AS quantity, round(cast(cast(lo * multiplier AS VARCHAR) AS DECIMAL(38, 24)), 3)::DOUBLE AS quantity_lo, round(cast(cast(hi * multiplier AS VARCHAR) AS DECIMAL(38, 24)), 3)::DOUBLE AS quantity_hi, base_cost AS unit_cost_est FROM d JOIN c USING (damage_class))"""
 
 
 @query("concealed_rules", f"WITH {DAMAGE}, r(rule_id, st, rc) AS (VALUES {RULE_ROWS}) SELECT 'flag_' || rule_id || '_' || damage_id AS flag_id, rule_id, 'Triggered by ' || damage_id || ' (' || damage_class || ')' AS trigger FROM d JOIN r ON contains(lower(surface_id), st) AND rc = damage_class")
