@@ -45,7 +45,9 @@ def signature(text: Column) -> Column:
 
 def exploded(docs: DataFrame, lead: int) -> DataFrame:
     """(key, text_key, sig, line_no, template, n, leaf): the lines that have tokens."""
-    lines = docs.select("key", "text_key", signature(F.col("text")).alias("sig"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    # The signature is a column before lines are made of the text; beside the generator it would be computed for each line.
+    signed = docs.select("key", "text_key", signature(F.col("text")).alias("sig"), "text")
+    lines = signed.select("key", "text_key", "sig", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     own = lines.select("key", "text_key", "sig", "line_no", masked(F.col("line")).alias("template")).where("template <> ''")
     n = F.length("template") - F.length(F.translate("template", " ", "")) + 1
     return own.withColumn("n", n).withColumn("leaf", F.concat_ws(" ", F.col("n").cast("string"), F.substring_index("template", " ", lead)))
