@@ -1,7 +1,7 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
 Only confirmed toxic documents are learned from as a class; all else is text of unknown kind. With the class prior ``p`` (the share of
-toxic rows among the labelled training rows) the risk of calling unlabelled text clean is corrected by what toxic text adds to it:
+toxic rows among the labelled training rows, or less where unlabelled text shows that it must be) the risk of calling unlabelled text clean is corrected by what toxic text adds to it:
 ``p * R+(toxic) + max(0, R-(unlabelled) - p * R-(toxic))``; the corrected
 part is held at zero or above, which keeps the classifier from fitting the unlabelled part too closely. The classifier is
 linear over the presence of words and of their first letters, trained in numpy.
@@ -119,7 +119,11 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = 5, positives: int = 8
     got = texts.mapInPandas(bits, "bits binary, toxic_row boolean, any_row boolean").toPandas()  # bounded by the samples
     table = np.unpackbits(np.array([np.frombuffer(b, dtype=np.uint8) for b in got["bits"]]), axis=1)[:, : len(place)]
     drop_table(texts)
-    weights, bias = train_nnpu(table[got["toxic_row"].to_numpy(dtype=bool)], table[got["any_row"].to_numpy(dtype=bool)], prior)
+    toxic_row, any_row = (got[c].to_numpy(dtype=bool) for c in ("toxic_row", "any_row"))
+    # Text of any kind holds the toxic share's words at least that often, which bounds the prior where labelled rows are no fair sample.
+    some = table.any(axis=1)
+    prior = min(prior, max(some[any_row].mean() / some[toxic_row].mean(), 1e-6)) if any_row.any() and some[toxic_row].any() else prior
+    weights, bias = train_nnpu(table[toxic_row], table[any_row], prior)
     return {w: float(x) for w, x in zip(chosen, weights, strict=True) if x}, bias
 
 
