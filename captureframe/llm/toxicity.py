@@ -95,7 +95,9 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = 5, positives: int = 8
                 if a:
                     other.update(found)
         words = list(toxic)  # a word that no toxic row has tells nothing about them
-        yield pd.DataFrame({"word": words, "p": [toxic[w] for w in words], "u": [other[w] for w in words]})
+        for at in range(0, max(1, len(words)), 50_000):
+            some = words[at : at + 50_000]
+            yield pd.DataFrame({"word": pd.Series(some, dtype=object), "p": np.array([toxic[w] for w in some], dtype=np.int64), "u": np.array([other[w] for w in some], dtype=np.int64)})
 
     totals = texts.agg(F.count_if("toxic_row"), F.count_if("any_row")).first()
     # `u` of a word misses tasks in which no toxic row had it, so it is counted again for the words that are kept.
