@@ -32,11 +32,10 @@ MISSING_ID = -(1 << 63)
 
 
 def masked(line: Column) -> Column:
-    """The line's tokens in lower case, fields masked, joined by one space."""
-    low = F.lower(line)
-    spaced = F.trim(F.regexp_replace(low, r"[\x20\x09-\x0D]+", " "))
+    """A lower-case line's tokens, fields masked, joined by one space."""
+    spaced = F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))
     # Most lines have neither fields nor odd spaces; one look tells.
-    return F.when(line.rlike(r"[0-9@\x09-\x0D]|  |://"), F.regexp_replace(spaced, r"[^ ]*(?:[0-9@]|://)[^ ]*", FIELD)).otherwise(F.trim(low))
+    return F.when(line.rlike(r"[0-9@\x09-\x0D]|  |://"), F.regexp_replace(spaced, r"[^ ]*(?:[0-9@]|://)[^ ]*", FIELD)).otherwise(F.trim(line))
 
 
 def signature(text: Column) -> Column:
@@ -49,7 +48,7 @@ def exploded(docs: DataFrame, lead: int) -> DataFrame:
     """(key, text_key, sig, line_no, template, n, leaf): the lines that have tokens."""
     # The signature is a column before lines are made of the text; beside the generator it would be computed for each line.
     signed = docs.select("key", "text_key", signature(F.col("text")).alias("sig"), "text")
-    lines = signed.select("key", "text_key", "sig", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    lines = signed.select("key", "text_key", "sig", F.posexplode(F.split(F.lower("text"), "\n")).alias("line_no", "line"))
     own = lines.select("key", "text_key", "sig", "line_no", masked(F.col("line")).alias("template")).where("template <> ''")
     n = F.size(F.split("template", " "))
     return own.withColumn("n", n).withColumn("leaf", F.concat_ws(" ", F.col("n").cast("string"), F.substring_index("template", " ", lead)))
