@@ -136,7 +136,8 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int = 1
         for pdf in parts:
             for q, text in zip(pdf["query_id"], pdf["text"], strict=True):
                 tf = Counter(tokens_of(text))
-                yield pd.DataFrame({"query_id": q, "word": list(tf), "tf": list(tf.values())})
+                if tf:
+                    yield pd.DataFrame({"query_id": q, "word": list(tf), "tf": list(tf.values())})
 
     terms = wanted.mapInPandas(weigh, "query_id long, word string, tf long").join(df, "word")  # queries are the smaller side
     per_query = terms.groupBy("query_id").agg(F.collect_list("word").alias("words"), F.collect_list("tf").alias("tfs"), F.collect_list("df").alias("dfs"))
