@@ -1,7 +1,8 @@
 """Token ids as frequency ranks in byte-aligned variable-length code, with control bytes apart from data bytes.
 
-Two passes over the corpus. The first counts every id (a table as long as the vocabulary, whatever the corpus); ids get
-ranks by falling count. The second range-sorts documents by doc_id, encodes each and writes files. A rank takes 1 to 4
+Every document is tokenised once, into a table of compressed ids in the shared folder. One pass over it counts every id (as many
+counts as the vocabulary is long, whatever the corpus); ids get ranks by falling count. Another range-sorts documents by doc_id, encodes
+each and writes files. A rank takes 1 to 4
 data bytes, least significant first; its length less one takes two bits of a control byte, four ranks to a control byte.
 
 File: 8 bytes of magic, four unsigned 64-bit counts (documents, ids, control bytes, data bytes), then doc_id (int64),
@@ -20,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -88,31 +90,44 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def id_counts(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """(id, n) over all documents, ends included."""
+def _width(tokenizer: str) -> str:
+    return "<u2" if encoder(tokenizer).tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+
+
+def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
+    """(doc_id, ids) with each document's ids, the end included, packed to the vocabulary's width and compressed."""
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        encode, width, end = encoder(tokenizer).encode, _width(tokenizer), np.array([end_id], dtype="<u4").tobytes()
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for pdf in batches:
+            packed = [pack(np.frombuffer(encode(t) + end, dtype="<u4").astype(width).tobytes()) for t in pdf["text"]]
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "ids": packed})
+
+    return _texts(docs).mapInPandas(rows, "doc_id long, ids binary")
+
+
+def id_counts(table: DataFrame, tokenizer: str) -> DataFrame:
+    """(id, n) over all documents of an ``encoded`` table."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, total = encoder(tokenizer).encode, np.zeros(0, dtype=np.int64)
+        width, unpack, total = _width(tokenizer), zstandard.ZstdDecompressor().decompress, np.zeros(0, dtype=np.int64)
         for pdf in batches:
             for at in range(0, len(pdf), 256):
-                some = pdf["text"].iloc[at : at + 256]
-                got = np.bincount(np.frombuffer(b"".join(map(encode, some)), dtype="<u4"), minlength=end_id + 1)
-                got[end_id] += len(some)
-                if len(got) > len(total):
-                    got[: len(total)] += total
-                    total = got
-                else:
-                    total[: len(got)] += got
+                got = np.bincount(np.frombuffer(b"".join(map(unpack, pdf["ids"].iloc[at : at + 256])), dtype=width), minlength=len(total))
+                got[: len(total)] += total
+                total = got
         ids = np.flatnonzero(total)
         yield pd.DataFrame({"id": ids, "n": total[ids]})
 
-    return _texts(docs).mapInPandas(rows, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return table.select("ids").mapInPandas(rows, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> DataFrame:
     """Encode and write all documents in doc_id order; the manifest (part, k, path, n_docs, n_ids), kept in the shared folder."""
     spark = docs.sparkSession
-    counted = id_counts(docs, tokenizer, end_id).toPandas()  # one row for each id of the vocabulary at most
+    table = written(encoded(docs, tokenizer, end_id), "ids")
+    counted = id_counts(table, tokenizer).toPandas()  # one row for each id of the vocabulary at most
     by_rank = counted.sort_values(["n", "id"], ascending=[False, True])["id"].to_numpy(dtype=np.int64)
     files.put(f"{folder}/ranks.bin", [by_rank.astype("<u4").tobytes()], 0)
     rank_of = np.zeros(int(by_rank.max(initial=0)) + 1, dtype=np.uint32)
@@ -120,22 +135,22 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> Da
     shared = spark.sparkContext.broadcast(rank_of)
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, ranks = encoder(tokenizer).encode, shared.value
+        ranks, width, unpack = shared.value, _width(tokenizer), zstandard.ZstdDecompressor().decompress
         context = TaskContext.get()
-        part, end, k = context.partitionId(), np.array([end_id], dtype="<u4").tobytes(), 0
+        part, k, each = context.partitionId(), 0, np.dtype(width).itemsize
         ids, counts, held, size = [], [], [], 0
 
         def flush() -> pd.DataFrame:
             path = f"{folder}/part-{part:06d}-{k:04d}.ranks"
-            own = ranks[np.frombuffer(b"".join(held), dtype="<u4")]
+            own = ranks[np.frombuffer(b"".join(held), dtype=width)]
             files.put(path, file_parts(ids, counts, own), context.taskAttemptId())
             return pd.DataFrame({"part": [part], "k": [k], "path": [path], "n_docs": [len(ids)], "n_ids": [len(own)]})
 
         for pdf in batches:
-            for i, text in zip(pdf["doc_id"], pdf["text"], strict=True):
-                got = encode(text) + end
+            for i, packed in zip(pdf["doc_id"], pdf["ids"], strict=True):
+                got = unpack(packed)
                 ids.append(None if pd.isna(i) else int(i))
-                counts.append(len(got) // 4)
+                counts.append(len(got) // each)
                 held.append(got)
                 size += len(got)
                 if size >= FILE_BYTES:
@@ -144,7 +159,7 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> Da
         if ids:
             yield flush()
 
-    sorted_docs = _texts(docs).repartitionByRange(partitions_for(spark), F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
+    sorted_docs = table.repartitionByRange(partitions_for(spark), F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
     return written(sorted_docs.mapInPandas(rows, "part int, k int, path string, n_docs long, n_ids long"), "manifest")
 
 
