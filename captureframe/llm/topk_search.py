@@ -6,8 +6,8 @@ with idf = ln(1 + (N - df + 0.5) / (df + 0.5)) over the whole corpus, so a score
 Plan. (1) Statistics: N, average length, and df of the words that queries have. (2) The corpus is dealt into shards of bounded size by a
 hash; each builds its inverted index once, restricted to query words: postings by word in document order, cut into blocks of ``block``
 documents, with the greatest impact of each word in each block. (3) Queries are sent to every shard in batches of bounded size (a stated
-query set against all rows). For a query, the sum of its words' block maxima bounds every document of a block; blocks are taken by
-falling bound and scored exactly (document at a time within the block) until the bound falls under the k-th score so far, so whole blocks
+query set against all rows). For a query, the sum of its words' block maxima bounds every document of a block; the blocks of
+greatest bound are scored exactly first, and of the others only those whose bound reaches the k-th score so far, so many blocks
 are never scored, and nothing that could enter the top k is lost. Documents are put into shards and blocks by length and first words, which
 makes the bounds of a block tight. (4) The k best of each (query, shard) are merged. Ties go to the lesser doc_id.
 
@@ -71,42 +71,43 @@ class Index:
     def top(self, query: dict[str, int], k: int, own: int | None) -> list[tuple[int, float]]:
         """The k best (doc_id, score): falling score, rising doc_id."""
         words = sorted(w for w in query if w in self.lists)
-        bound = np.zeros(self.blocks)
-        for w in words:
-            at, most = self.maxima[w]
-            bound[at] += query[w] * most
-        best: list[tuple[float, int]] = []
+        if not words:
+            return []
+        bound = np.bincount(np.concatenate([self.maxima[w][0] for w in words]), np.concatenate([self.maxima[w][1] * query[w] for w in words]), minlength=self.blocks)
+        at = np.concatenate([self.lists[w][0] for w in words])
+        value = np.concatenate([self.lists[w][1] * query[w] for w in words])
+        of = at // self.block
         order = np.argsort(-bound, kind="stable")
-        step, at = 8, 0
-        while at < len(order):
-            some = order[at : at + step]
-            some = some[bound[some] > 0]
-            if len(best) == k:  # a little slack, so that rounding never drops a tie
-                some = some[bound[some] >= best[-1][0] * (1 - 1e-12) - 1e-9]
-            if not len(some):
-                break
-            score = np.zeros((len(some), self.block))
-            place = np.full(self.blocks, -1)
-            place[some] = np.arange(len(some))
-            for w in words:
-                docs, impact = self.lists[w]
-                row = place[docs // self.block] if len(docs) < 64 * len(some) else None
-                if row is not None:
-                    hit = np.flatnonzero(row >= 0)
-                    score[row[hit], docs[hit] % self.block] += query[w] * impact[hit]
-                    continue
-                for r, b in enumerate(some):
-                    lo, hi = np.searchsorted(docs, (b * self.block, (b + 1) * self.block))
-                    score[r, docs[lo:hi] - b * self.block] += query[w] * impact[lo:hi]
-            r, c = np.nonzero(score)
-            found = zip(score[r, c].tolist(), self.ids[some[r] * self.block + c].tolist(), strict=True)
-            best = sorted([*best, *((s, i) for s, i in found if i != own)], key=lambda x: (-x[0], x[1]))[:k]
-            at += step
-            step = min(step * 2, 256)
-        return [(i, s) for s, i in best]
-
-
-def search(docs: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int = 10_000, query_batch: int = 3_000, block: int = 4) -> DataFrame:
+
+        def best_of(blocks: np.ndarray, before: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+            """The k best of some blocks and of what there was before, as (scores, doc_ids)."""
+            taken = np.zeros(self.blocks, dtype=bool)
+            taken[blocks] = True
+            mine = taken[of]
+            total = np.bincount(at[mine], value[mine], minlength=len(self.ids))
+            hit = np.flatnonzero(total > 0)
+            score, ids = np.concatenate([before[0], total[hit]]), np.concatenate([before[1], self.ids[hit]])
+            if own is not None:
+                score, ids = score[ids != own], ids[ids != own]
+            if len(score) > k:
+                near = score >= np.partition(score, -k)[-k]
+                score, ids = score[near], ids[near]
+            first = np.lexsort((ids, -score))[:k]
+            return score[first], ids[first]
+
+        # The blocks of greatest bound give the k-th score that the others' bounds are held against.
+        start = max(4, -(-2 * k // self.block))
+        best = best_of(order[:start], (np.zeros(0), np.zeros(0, dtype=np.int64)))
+        rest = order[start:]
+        rest = rest[bound[rest] > 0]
+        if len(best[0]) == k:  # a little slack, so that rounding never drops a tie
+            rest = rest[bound[rest] >= best[0][-1] * (1 - 1e-12) - 1e-9]
+        if len(rest):
+            best = best_of(rest, best)
+        return list(zip(best[1].tolist(), best[0].tolist(), strict=True))
+
+
+def search(docs: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int = 10_000, query_batch: int = 3_000, block: int = 32) -> DataFrame:
     """(query_id, rank, doc_id, score) for each row of ``queries`` (query_id, text) against all rows of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
