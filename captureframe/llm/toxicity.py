@@ -71,7 +71,7 @@ def train_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps
     return theta[:n], float(theta[n])
 
 
-def learn(docs: DataFrame, labels: DataFrame, folds: int = 5, positives: int = 8000, unlabelled: int = 24000, features: int = 256, least: int = 4, surprise: float = 12.0) -> tuple[dict[str, float], float]:
+def learn(docs: DataFrame, labels: DataFrame, folds: int = 5, positives: int = 8000, unlabelled: int = 24000, features: int = 256, least: int = 4, least_share: float = 0.02, surprise: float = 12.0) -> tuple[dict[str, float], float]:
     """(weight of each word, bias), from the rows whose fold is not 0."""
     spark = docs.sparkSession
     trusted = labels.where(fold(F.col("doc_id"), folds) != 0)
@@ -94,14 +94,13 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = 5, positives: int = 8
                     toxic.update(found)
                 if a:
                     other.update(found)
-        words = list(toxic)  # a word that no toxic row has tells nothing about them
+        words = sorted(toxic.keys() | other.keys())
         for at in range(0, max(1, len(words)), 50_000):
             some = words[at : at + 50_000]
             yield pd.DataFrame({"word": pd.Series(some, dtype=object), "p": np.array([toxic[w] for w in some], dtype=np.int64), "u": np.array([other[w] for w in some], dtype=np.int64)})
 
     totals = texts.agg(F.count_if("toxic_row"), F.count_if("any_row")).first()
-    # `u` of a word misses tasks in which no toxic row had it, so it is counted again for the words that are kept.
-    hits = texts.mapInPandas(count, "word string, p long, u long").groupBy("word").agg(F.sum("p").alias("p"), F.sum("u").alias("u")).where(F.col("p") >= least)
+    hits = texts.mapInPandas(count, "word string, p long, u long").groupBy("word").agg(F.sum("p").alias("p"), F.sum("u").alias("u")).where(F.col("p") >= max(least, least_share * totals[0]))
     expected = (F.col("u") + 1) / (totals[1] + 1) * totals[0]
     evidence = F.col("p") * F.log(F.col("p") / expected) - (F.col("p") - expected)  # how much likelier than by chance
     ranked = hits.where(F.col("p") > expected).select("word", evidence.alias("evidence")).where(F.col("evidence") > surprise)
