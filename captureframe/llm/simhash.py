@@ -21,6 +21,7 @@ unless the component has no other; repeated rows keep their number; other column
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +36,8 @@ SEED = 42
 LEAF, FANOUT = 16, 8
 #: Node pairs that are expanded at once: bounds a task's memory.
 FRONTIER = 1 << 18
+#: Texts on each side of a block of comparisons, and shingles that are looked at at once: bound a task's memory.
+BLOCK, COLUMNS = 128, 8192
 
 
 def _bits_of(hashes: np.ndarray) -> int:
@@ -290,12 +293,98 @@ def similarity_of(a: str | None, b: str | None, shingle: int) -> float:
     return both / (len(x) + len(y) - both)
 
 
+def block_links(hashes: list[np.ndarray], group: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """Positions (i, j) of different groups at ``similarity`` or more: enough of them to join all groups that any such pair joins."""
+    size = np.array([len(x) for x in hashes], dtype=np.int64)
+    row = np.repeat(np.arange(len(hashes)), size)
+    _, column, held = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+    # Shingles of one text only are in no intersection.
+    shared = np.cumsum(held > 1) - 1
+    use = held[column] > 1
+    row, column = row[use], shared[column[use]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    both = np.zeros((len(hashes), len(hashes)), dtype=np.int64)
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        lo, hi = np.searchsorted(column, [at, at + COLUMNS])
+        has = np.zeros((len(hashes), COLUMNS), dtype=np.float32)
+        has[row[lo:hi], column[lo:hi] - at] = 1
+        both += (has @ has.T).astype(np.int64)
+    either = size[:, None] + size[None, :] - both
+    near = np.where(either > 0, both / np.maximum(either, 1), 1.0) >= similarity
+    i, j = np.nonzero(np.triu(near, 1) & (group[:, None] != group[None, :]))
+    _, own = np.unique(group, return_inverse=True)
+    _, first = np.unique(np.minimum(own[i], own[j]) * len(own) + np.maximum(own[i], own[j]), return_index=True)
+    parent = list(range(len(own)))
+
+    def find(k: int) -> int:
+        while parent[k] != k:
+            parent[k] = parent[parent[k]]
+            k = parent[k]
+        return k
+
+    out = []
+    for k in first.tolist():
+        x, y = find(int(own[i[k]])), find(int(own[j[k]]))
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            out.append((int(i[k]), int(j[k])))
+    return out
+
+
+def links_left(texts: DataFrame, sections: DataFrame, roots: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(a, b): links between texts that share a print and are in different groups of ``roots`` so far.
+
+    The least node of each print has been compared with all others. Of the rest of a print, only texts of different groups are compared:
+    those outside its largest group with all, in blocks of about BLOCK texts by BLOCK, so that no task holds a print's texts.
+    Prints of the same texts count once.
+    """
+    least = sections.groupBy("print").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 2").drop("n")
+    rest = sections.join(least, "print").where("node > a").join(roots, "node", "left").select("print", "node", F.coalesce("root", "node").alias("group"))
+    parts = rest.groupBy("print", "group").agg(F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sum"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("xor"))
+    open_ = parts.groupBy("print").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.max_by("group", F.struct("n", "group")).alias("largest"), F.sum("sum").alias("sum"), F.bit_xor("xor").alias("xor")).where("n > most")
+    open_ = written(open_.groupBy("n", "most", "largest", "sum", "xor").agg(F.min("print").alias("print")).select("print", "n", "most", "largest"), "open")
+    few, many = F.ceil((F.col("n") - F.col("most")) / BLOCK), F.ceil(F.col("most") / BLOCK)
+    minor = F.col("group") != F.col("largest")
+    dealt = rest.join(open_, "print").withColumns({"few": few, "many": many, "x": F.when(minor, F.pmod(F.xxhash64("node"), few)).otherwise(few + F.pmod(F.xxhash64("node"), many))})
+    with_ = F.sequence(F.lit(0).cast("long"), F.when(minor, F.col("few") + F.col("many") - 1).otherwise(F.col("few") - 1))
+    dealt = dealt.select("print", "node", "group", "x", F.explode(with_).alias("y"))
+    dealt = written(dealt.select("node", "group", F.xxhash64("print", F.least("x", "y"), F.greatest("x", "y")).alias("block")), "blocks")
+
+    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"node": pdf["node"], "hashes": [np.unique(shingle_hashes(t, shingle)).astype(np.int64) for t in pdf["text"]]})
+
+    needed = texts.join(dealt.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    shingles = written(needed.mapInPandas(hashed, "node long, hashes array<long>"), "shingles")
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for pdf in itertools.chain(batches, [None]):
+            now = held if pdf is None else pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+            if now is None or not len(now):
+                continue
+            block, node, group, hashes = now["block"].to_numpy(), now["node"].to_numpy(), now["group"].to_numpy(), now["hashes"].tolist()
+            cuts = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), len(block)]
+            held = None if pdf is None else now.iloc[cuts[-2] :]
+            got = []
+            for lo, hi in itertools.pairwise(cuts if pdf is None else cuts[:-1]):
+                got += [(node[lo + i], node[lo + j]) for i, j in block_links(hashes[lo:hi], group[lo:hi], similarity)]
+            if got:
+                a, b = np.array(got, dtype=np.int64).T
+                yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.join(shingles, "node").repartition(n, "block").sortWithinPartitions("block").mapInPandas(compare, "a long, b long")
+
+
 def one_per_group(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs`` without near copies: of each group of texts linked by ``similarity`` or more, the row of the least doc_id stays.
 
     Whole-text SimHashes a few bits apart find copies with hardly an edit; for a similarity of 0.8 the bits that differ are too many
     to be an index key. So sections of the shingle set are printed instead (see ``section_prints``) and looked up exactly; every
     text that shares a print with others is compared, whole, with the least of them, and pairs under ``similarity`` are no links.
+    Texts that share a print and are in different groups after that are compared with each other (see ``links_left``).
     Equal texts are folded first. Null doc_ids come last in a group; a repeated row stays once.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -322,7 +411,9 @@ def one_per_group(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) ->
             near = [similarity_of(x, y, shingle) >= similarity for x, y in zip(pdf["text_a"], pdf["text_b"], strict=True)]
             yield pdf.loc[near, ["a", "b"]]
 
-    roots = connected(both.mapInPandas(compare, "a long, b long"))
+    found = written(both.mapInPandas(compare, "a long, b long"), "links")
+    roots = connected(found)
+    roots = connected(found.union(links_left(texts, sections, roots, shingle, similarity)))
     grouped = first.select(F.col("__key").alias("key"), "first").withColumn("node", number).join(roots, "node", "left")
     best = grouped.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min_by(F.struct("key", "first"), F.struct("first", "key")).alias("kept"))
     kept = written(best.select(F.col("kept.key").alias("__key"), F.col("kept.first.doc_id").alias("__id")), "kept")

@@ -108,6 +108,49 @@ def test_near_copies_one_stays(spark):
     assert kept == set(range(30))
 
 
+def family(n: int, words: int = 300, edits: int = 4, seed: int = 1) -> list[str]:
+    """Variants of one text, each with ``edits`` of its words replaced."""
+    r = random.Random(seed)
+    base, out = prose(words, seed).split(), []
+    for _ in range(n):
+        own = list(base)
+        for at in r.sample(range(words), edits):
+            own[at] = f"w{r.randrange(10**6)}"
+        out.append(" ".join(own))
+    return out
+
+
+@pytest.mark.parametrize(("n", "seed"), [(300, 1), (400, 2)])
+def test_families_are_linked_beyond_the_least_of_a_print(spark, n, seed):
+    texts = family(n, seed=seed)
+    sets = [frozenset(simhash.shingle_hashes(t, 5).tolist()) for t in texts]
+    root = list(range(n))
+    for i in range(n):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) and root[i] != root[j]:
+                root = [min(root[i], root[j]) if x in (root[i], root[j]) else x for x in root]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], DOC)
+    assert {r.doc_id for r in simhash.one_per_group(df).collect()} == set(root)
+
+
+def test_blocks_join_what_any_pair_joins():
+    r = np.random.default_rng(5)
+    sets = [np.unique(r.choice(40, 30)).astype(np.int64) for _ in range(60)] + [np.empty(0, dtype=np.int64)] * 2
+    group = np.arange(len(sets)) // 2
+    got = simhash.block_links(sets, group, 0.6)
+    whole = lambda pairs: brute_groups(group, pairs)
+    near = [(i, j) for i in range(len(sets)) for j in range(i) if len(np.intersect1d(sets[i], sets[j])) >= 0.6 * len(np.union1d(sets[i], sets[j]))]
+    assert near and whole(got) == whole(near) and all((max(x), min(x)) in near for x in got)
+
+
+def brute_groups(group, pairs) -> list[int]:
+    root = group.tolist()
+    for i, j in pairs:
+        a, b = root[i], root[j]
+        root = [min(a, b) if x in (a, b) else x for x in root]
+    return root
+
+
 def test_encoder_equals_the_library():
     e = Encoder(tokenizer_path(), most=50)
     r = random.Random(3)
