@@ -1,9 +1,9 @@
 """Lines that recur across documents, found through a log-template tree.
 
 A line is a log message: its tokens (split at white space, lower case) with digits, ``@`` or ``://`` are variable fields. The tree has
-a fixed depth: the number of tokens, then the ``lead`` first tokens with fields masked; below that, a leaf holds the templates. In each leaf
-the most frequent masked line stands for a template, and lines that equal it in at least ``similar`` of their places join
-it, with the places that differ as further fields; other lines are templates of their own.
+a fixed depth: the number of tokens, then the ``lead`` first tokens with fields masked; below that, a leaf holds a list of templates. The
+most frequent masked lines stand for templates, and lines that equal one in at least ``similar`` of their places join it, with the
+places that differ as further fields; this is repeated on the others until no line of a leaf is left (see ``grouped``).
 
 A template is dropped when it recurs: in ``least`` or more documents for lines of ``long`` tokens and over, in ``least_short`` or more for
 shorter ones of at least ``short`` tokens. Documents are counted by signature (the least hash among their longer sentences), so that a
@@ -58,21 +58,65 @@ def needed(n: Column, short: int, long: int, least_short: int, least: int) -> Co
     return F.when(n >= long, least).when(n >= short, least_short)
 
 
-def recurring(lines: DataFrame, short: int, long: int, least_short: int, least: int, similar: float, spread: float) -> DataFrame:
-    """(leaf, template): masked lines whose template recurs. ``lines`` has leaf, n, template, sig, text_key."""
+def matching(one: str, other: str) -> Column:
+    """The number of places in which two masked lines are equal."""
+    return F.aggregate(F.zip_with(F.split(one, " "), F.split(other, " "), lambda a, b: F.when(a == b, 1).otherwise(0)), F.lit(0), lambda acc, x: acc + x)
+
+
+def grouped(kinds: DataFrame, similar: float, max_rounds: int = 60) -> DataFrame:
+    """(leaf, n, template, group): group is the stem that a masked line has joined, or the line itself.
+
+    Two lines that are equal in ``similar`` of their places are equal in one whole part of ``n`` less the least matching places plus one
+    parts, so a line is filed under its parts. A line that leads all its parts (by times, then text) is a stem; lines similar to a stem of theirs
+    join the greatest such, both go, and the rest is led anew until no two lines share a part.
+    """
+    parts = F.least(F.col("n"), F.col("n") - F.ceil(F.lit(similar) * F.col("n")).cast("int") + 1)
+    tokens = F.split("template", " ")
+    cut = lambda k: F.floor(k * F.col("n") / parts).cast("int")
+    part = F.transform(F.sequence(F.lit(0), parts - 1), lambda k: F.xxhash64("leaf", k, F.array_join(F.slice(tokens, cut(k) + 1, cut(k + 1) - cut(k)), " ")))
+    rank = F.struct("times", "template")
+    left, done = kinds.select("leaf", "n", "template", "times"), None
+    for _ in range(max_rounds):
+        filed = left.withColumn("part", F.explode(part))
+        seen = filed.join(filed.groupBy("part").agg(F.max(rank).alias("top")), "part").withColumn("behind", F.when(F.col("top") != rank, F.col("top")))
+        # A line that is behind in none of its parts is a stem, or alone.
+        state = written(seen.groupBy("leaf", "n", "template", "times").agg(F.collect_set("behind").alias("tops")), "led")
+        stems = state.where("size(tops) = 0").select("leaf", "n", "template", F.col("template").alias("group"))
+        rest = state.where("size(tops) > 0")
+        near = rest.select("leaf", "n", "template", F.explode("tops").alias("top")).withColumn("group", F.col("top.template")).where(matching("template", "group") >= F.lit(similar) * F.col("n"))
+        joined = near.join(stems.select("leaf", "group"), ["leaf", "group"], "left_semi").groupBy("leaf", "n", "template").agg(F.max("top").alias("top"))
+        joined = written(joined.select("leaf", "n", "template", F.col("top.template").alias("group")), "joined")
+        settled = stems.unionByName(joined)
+        done = settled if done is None else done.unionByName(settled)
+        left = rest.join(joined, ["leaf", "n", "template"], "left_anti").select("leaf", "n", "template", "times")
+        if left.isEmpty():
+            return written(done, "stems")
+    raise RuntimeError("line templates did not settle")
+
+
+def one_stem(kinds: DataFrame, similar: float) -> DataFrame:
+    """(leaf, n, template, group) with the most frequent line of a leaf as its only stem."""
+    joined = kinds.join(kinds.groupBy("leaf").agg(F.max_by("template", F.struct("times", "template")).alias("stem")), "leaf")
+    return joined.select("leaf", "n", "template", F.when((F.col("template") == F.col("stem")) | (matching("template", "stem") >= F.lit(similar) * F.col("n")), F.col("stem")).otherwise(F.col("template")).alias("group"))
+
+
+def recurring(lines: DataFrame, short: int, long: int, least_short: int, least: int, similar: float, spread: float, all_stems: bool) -> DataFrame:
+    """(leaf, template): masked lines that recur, or whose template does. ``lines`` has leaf, n, template, sig, text_key."""
     kinds = lines.groupBy("leaf", "n", "template").agg(F.count("*").alias("times"))
-    first = kinds.groupBy("leaf").agg(F.max_by("template", F.struct("times", "template")).alias("stem"))
-    joined = kinds.join(first, "leaf")
-    same = F.aggregate(F.zip_with(F.split("template", " "), F.split("stem", " "), lambda a, b: F.when(a == b, 1).otherwise(0)), F.lit(0), lambda acc, x: acc + x)
-    named = joined.select("leaf", "n", "template", F.when((F.col("template") == F.col("stem")) | (same >= F.lit(similar) * F.col("n")), F.col("stem")).otherwise(F.col("template")).alias("group"))
-    member = lines.select("leaf", "n", "template", "sig", "text_key").distinct().join(named, ["leaf", "n", "template"]).select("leaf", "n", "group", "sig", "text_key").distinct()
-    sigs = member.groupBy("leaf", "n", "group", "sig").agg(F.count("*").alias("texts")).groupBy("leaf", "n", "group").agg(F.count("*").alias("sigs"), F.sum("texts").alias("texts"))
-    hit = sigs.where((F.col("sigs") >= needed(F.col("n"), short, long, least_short, least)) & (F.col("sigs") >= F.lit(spread) * F.col("texts")))
-    return named.join(hit.select("leaf", "group"), ["leaf", "group"]).select("leaf", "template")
-
-
-def drop_recurring(docs: DataFrame, lead: int = 3, short: int = 3, long: int = 8, least_short: int = 10, least: int = 3, similar: float = 0.8, spread: float = 0.2) -> DataFrame:
-    """``docs`` without the lines of recurring templates, and with n_lines and n_dropped."""
+    named = grouped(written(kinds, "kinds"), similar) if all_stems else one_stem(kinds, similar)
+    found = []
+    # A line that recurs goes whether or not its family is spread well enough.
+    for by in ("group", "template") if all_stems else ("group",):
+        held = lines.select("leaf", "n", "template", "sig", "text_key").distinct()
+        member = held.join(named, ["leaf", "n", "template"]).select("leaf", "n", "group", "sig", "text_key").distinct() if by == "group" else held
+        sigs = member.groupBy("leaf", "n", by, "sig").agg(F.count("*").alias("texts")).groupBy("leaf", "n", by).agg(F.count("*").alias("sigs"), F.sum("texts").alias("texts"))
+        hit = sigs.where((F.col("sigs") >= needed(F.col("n"), short, long, least_short, least)) & (F.col("sigs") >= F.lit(spread) * F.col("texts")))
+        found.append(named.join(hit.select("leaf", by), ["leaf", by]).select("leaf", "template"))
+    return found[0].union(found[1]).distinct() if all_stems else found[0]
+
+
+def drop_recurring(docs: DataFrame, lead: int = 3, short: int = 3, long: int = 8, least_short: int = 10, least: int = 3, similar: float = 0.8, spread: float = 0.2, all_stems: bool = True) -> DataFrame:
+    """``docs`` without the lines of recurring templates, and with n_lines and n_dropped; without ``all_stems`` a leaf has one stem, as in the SQL of op8."""
     text = F.col("text").cast("string")
     keyed = docs.drop("n_lines", "n_dropped").withColumns({"__key": F.coalesce(F.col("doc_id").cast("long"), F.lit(MISSING_ID)), "__text_key": F.xxhash64(text)})
     lines = exploded(keyed.select(F.col("__key").alias("key"), F.col("__text_key").alias("text_key"), text.alias("text")).where("text IS NOT NULL"), lead)
@@ -80,7 +124,7 @@ def drop_recurring(docs: DataFrame, lead: int = 3, short: int = 3, long: int = 8
     full = pairs.groupBy("leaf", "n").agg(F.count("*").alias("sigs")).where(F.col("sigs") >= needed(F.col("n"), short, long, least_short, least))
     full = written(full.select("leaf"), "leaves")
     kept = written(lines.join(full, "leaf", "left_semi"), "lines")
-    out = recurring(kept, short, long, least_short, least, similar, spread)
+    out = recurring(kept, short, long, least_short, least, similar, spread, all_stems)
     gone = kept.join(out, ["leaf", "template"], "left_semi").groupBy("key", "text_key").agg(F.collect_set("line_no").alias("__gone"))
     gone = written(gone.select(F.col("key").alias("__key"), F.col("text_key").alias("__text_key"), "__gone"), "gone")
     joined = keyed.join(gone, ["__key", "__text_key"], "left")

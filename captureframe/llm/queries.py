@@ -135,7 +135,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_templates.drop_recurring(read_table(spark, sf_dir, "documents"))
+    out = line_templates.drop_recurring(read_table(spark, sf_dir, "documents"), all_stems=False)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 

@@ -290,6 +290,15 @@ def test_recurring_lines(spark, odd, empty):
     assert line_templates.drop_recurring(odd).count() == odd.count() and line_templates.drop_recurring(empty).count() == 0
 
 
+def test_each_family_of_a_leaf_generalises(spark):
+    names = "anna bert cleo dora emil fred gina hans ines jens".split()
+    first = [f"the report was written by {n} for all of the readers" for n in names]
+    second = [f"the report was stored under {n} in one of our archives" for n in names]
+    df = spark.createDataFrame([(i, f"{prose(30, i)}.\n{first[0] if i < 12 else first[i % 10] if i < 20 else second[i % 10]}\n{prose(30, 100 + i)}.", "en", "s", 0) for i in range(40)], DOC)
+    out = {r.doc_id: r for r in line_templates.drop_recurring(df).collect()}
+    assert all(out[i].n_dropped == 1 and "the report was" not in out[i].text for i in range(40))
+
+
 def test_toxicity_held_out(spark):
     r = random.Random(2)
     bad = ["vilename", "badword", "nastier"]
