@@ -43,7 +43,7 @@ class _Chunks(dict):
 class Encoder:
     """encode(text) -> ids as little-endian unsigned 32-bit bytes. Tables hold two generations of ``most`` entries."""
 
-    def __init__(self, path: str, most: int = 400_000, longest: int = 64):
+    def __init__(self, path: str, most: int = 160_000, longest: int = 64):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
