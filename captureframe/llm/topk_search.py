@@ -1,163 +1,304 @@
-"""Exact top-k search by BM25 over an inverted index with block-max pruning, per shard, merged under global statistics.
+"""Exact top-k search by BM25 over a block-max inverted index, per shard, merged under global statistics.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after A-Z are lower-cased. score(q, d) = sum over distinct words w of q of tf(q, w) * idf(w) * tf * (k1 + 1) / (tf + k1 * (1 - b + b * len(d) / avglen)),
 with idf = ln(1 + (N - df + 0.5) / (df + 0.5)) over the whole corpus, so a score does not depend on the shard it was computed in.
 
-Plan. (1) Statistics: N, average length, and df of the words that queries have. (2) The corpus is dealt into shards of bounded size by a
-hash; each builds its inverted index once, restricted to query words: postings by word in document order, cut into blocks of ``block``
-documents, with the greatest impact of each word in each block. (3) Queries are sent to every shard in batches of bounded size (a stated
-query set against all rows). For a query, the sum of its words' block maxima bounds every document of a block; the blocks of
-greatest bound are scored exactly first, and of the others only those whose bound reaches the k-th score so far, so many blocks
-are never scored, and nothing that could enter the top k is lost. Documents are put into shards and blocks by length and first words, which
-makes the bounds of a block tight. (4) The k best of each (query, shard) are merged. Ties go to the lesser doc_id.
-
-Defined results: null and empty texts match nothing, and a query without words has no rows; a query's own row is left out of its
-results by doc_id; repeated rows count each in the statistics, are results each, and their ties are kept apart by their place; null doc_ids
-are neither queries nor results, but count in the statistics; an empty table gives no rows.
+Plan. (1) Index, once: each task streams its documents into shards of ``shard_bytes`` of text. A shard is a file in the shared folder: its words,
+their postings (place, count) in document order, lengths and doc_ids. Documents of a shard are ordered by a common word and by length, so
+that alike documents share blocks of ``block``. (2) Statistics come from the shards: N, the mean length, and df of the queries' words, which go
+into the queries' weights. (3) Queries are written to files of bounded size, and each task reads a shard once and runs the queries past it, file
+by file (a stated query set against all rows). A query's words have one entry per block that they occur in, with the greatest impact there;
+the sums of these bound the scores of a block. Blocks are visited by falling bound while it reaches the k-th score so far, which rises with each
+visit; of the postings, only the ranges of visited blocks are read. A first round visits the best few blocks of every shard; the k-th
+best score over all shards then is the threshold that each shard starts from in the second round. (4) What reaches it is merged. Ties go to the lesser doc_id.
+
+Defined results: null and empty texts match nothing, and a query without words has no rows; rows of one query_id are one query, whose words
+add up; a query's own row is left out of its results by doc_id; repeated rows count each in the statistics and are results each; null
+doc_ids are neither queries nor results, but count in the statistics; a very long text is one document of a shard; other
+columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import pickle
 from array import array
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from captureframe.llm.shared import written
+from captureframe.llm import files
+from captureframe.llm.shared import drop_table, new_path, partitions_for, written
 
 K1, B = 1.2, 0.75
+#: Blocks that a visit takes, and slack so that rounding never drops a tie.
+VISIT, SLACK = 8, 1e-9
 
 
-def tokens_of(text: str | None) -> list[str]:
-    return [w.decode("utf-8", "surrogatepass") for w in (text or "").encode("utf-8", "surrogatepass").lower().split()]
-
-
-class Index:
-    """One shard: impacts by word in document order, and their maxima by block."""
-
-    def __init__(self, ids: list[int], texts: list[str], df: dict[str, int], n: int, mean: float, block: int):
-        counts = [Counter(tokens_of(t)) for t in texts]
-        length = np.array([sum(c.values()) for c in counts], dtype=float)
-        # Alike documents share blocks: rows are ordered by their rarest common words, then by length.
-        marks = [min((w for w in c if df.get(w, 0) > 1), key=lambda w: (-df[w] if df[w] * 3 < n else 0, w), default="") for c in counts]
-        order = sorted(range(len(ids)), key=lambda i: (marks[i], length[i], ids[i]))
-        self.ids = np.array([ids[i] for i in order], dtype=np.int64)
-        self.block, self.blocks = block, -(-len(ids) // block)
-        place: dict[str, int] = {}
-        ats, tfs, words = array("i"), array("i"), array("i")
-        for at, i in enumerate(order):
-            for w, tf in counts[i].items():
-                if w in df:
-                    ats.append(at)
-                    tfs.append(tf)
-                    words.append(place.setdefault(w, len(place)))
-        word, all_at, all_tf = (np.frombuffer(x, dtype=np.int32) if len(x) else np.zeros(0, dtype=np.int32) for x in (words, ats, tfs))
-        by_word = np.argsort(word, kind="stable")
-        all_at, all_tf = all_at[by_word], all_tf[by_word].astype(float)
-        ends = np.cumsum(np.bincount(word, minlength=len(place)))
-        all_impact = all_tf * (K1 + 1) / (all_tf + K1 * (1 - B + B * length[order][all_at] / mean))
-        self.lists, self.maxima = {}, {}
-        for w, k in place.items():
-            own = slice(ends[k - 1] if k else 0, ends[k])
-            at, impact = all_at[own], np.log(1 + (n - df[w] + 0.5) / (df[w] + 0.5)) * all_impact[own]
-            first = np.flatnonzero(np.diff(at // block, prepend=-1))
-            self.lists[w] = (at, impact)
-            self.maxima[w] = (at[first] // block, np.maximum.reduceat(impact, first))
-
-    def top(self, query: dict[str, int], k: int, own: int | None) -> list[tuple[int, float]]:
-        """The k best (doc_id, score): falling score, rising doc_id."""
-        words = sorted(w for w in query if w in self.lists)
-        if not words:
-            return []
-        bound = np.bincount(np.concatenate([self.maxima[w][0] for w in words]), np.concatenate([self.maxima[w][1] * query[w] for w in words]), minlength=self.blocks)
-        at = np.concatenate([self.lists[w][0] for w in words])
-        value = np.concatenate([self.lists[w][1] * query[w] for w in words])
-        of = at // self.block
-        order = np.argsort(-bound, kind="stable")
+def tokens_of(text: str | None) -> list[bytes]:
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+
+
+def shard_of(ids: list[int | None], texts: list[str | None]) -> dict:
+    """The inverted index of some documents: what a shard's file holds."""
+    place: dict[bytes, int] = {}
+    docs, tfs, words, length = array("i"), array("i"), array("i"), []
+    for at, text in enumerate(texts):
+        found = Counter(tokens_of(text))
+        length.append(sum(found.values()))
+        words.extend([place.setdefault(w, len(place)) for w in found])
+        docs.extend([at] * len(found))
+        tfs.extend(found.values())
+    word, doc, tf = (np.frombuffer(x, dtype=np.int32) if len(x) else np.zeros(0, dtype=np.int32) for x in (words, docs, tfs))
+    df = np.bincount(word, minlength=len(place))
+    # A document's mark is its commonest word among those that at most a third of the shard has.
+    rank = np.where(df * 3 <= len(ids), df, 0)[word]
+    best = np.lexsort((word, -rank, doc))
+    first = best[np.flatnonzero(np.diff(doc[best], prepend=-1))] if len(doc) else best
+    heads = np.full(len(ids), -1, dtype=np.int64)
+    heads[doc[first]] = word[first]
+    order = np.lexsort((np.arange(len(ids)), length, heads))
+    moved = np.empty(len(ids), dtype=np.int32)
+    moved[order] = np.arange(len(ids), dtype=np.int32)
+    doc = moved[doc]
+    by_word = np.lexsort((doc, word))
+    names = list(place)
+    return {
+        "words": names,
+        "df": df.astype(np.int32),
+        "docs": doc[by_word],
+        "tfs": tf[by_word],
+        "length": np.array(length, dtype=np.int64)[order],
+        "ids": np.array([0 if i is None else i for i in ids], dtype=np.int64)[order],
+        "null": np.array([i is None for i in ids], dtype=bool)[order],
+    }
+
+
+def put(path: str, value, attempt: int) -> None:
+    files.put(path, [zstandard.ZstdCompressor(level=1).compress(pickle.dumps(value, protocol=5))], attempt)
+
+
+def get(path: str):
+    return pickle.loads(zstandard.ZstdDecompressor().decompress(files.whole(path)))  # noqa: S301 (a file that this operator wrote)
+
+
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places of the ranges (start, size), one range after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+class Shard:
+    """A shard in memory: impacts in document order, and for each word one entry per block that it occurs in."""
 
-        def best_of(blocks: np.ndarray, before: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-            """The k best of some blocks and of what there was before, as (scores, doc_ids)."""
+    def __init__(self, held: dict, mean: float, block: int):
+        self.ids, self.block = held["ids"], block
+        self.place = {w: i for i, w in enumerate(held["words"])}
+        self.docs = held["docs"]
+        norm = K1 * (1 - B + B * held["length"] / mean)
+        self.impact = held["tfs"] * (K1 + 1) / (held["tfs"] + norm[self.docs])
+        self.impact[held["null"][self.docs]] = 0.0  # rows without an id are no results
+        self.blocks = -(-len(self.ids) // block)
+        of = self.docs // block
+        ends = np.cumsum(held["df"])
+        change = np.diff(of, prepend=-1) != 0
+        change[(ends - held["df"])[held["df"] > 0]] = True
+        self.start = np.flatnonzero(change)  # first posting of each entry
+        self.size = np.diff(self.start, append=len(of))
+        self.of = of[self.start]
+        self.best = np.maximum.reduceat(self.impact, self.start) if len(self.start) else np.zeros(0)
+        self.first = np.searchsorted(self.start, ends - held["df"])  # first entry of each word
+        self.entries = np.searchsorted(self.start, ends) - self.first
+        self.read = self.listed = 0  # postings that were read, and all postings of the queries' words
+
+    def top(self, words: list[bytes], weights: np.ndarray, k: int, own: int | None, floor: float = 0.0, visits: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(doc_ids, scores) of the k best at ``floor`` or more: falling score, rising doc_id. ``visits`` ends the search early."""
+        at = [(self.place[w], x) for w, x in zip(words, weights, strict=True) if w in self.place]
+        none = np.zeros(0, dtype=np.int64), np.zeros(0)
+        if not at:
+            return none
+        named, weight = np.array([x[0] for x in at], dtype=np.int64), np.array([x[1] for x in at])
+        entry, heavy = _spread(self.first[named], self.entries[named]), np.repeat(weight, self.entries[named])
+        of = self.of[entry]
+        bound = np.bincount(of, self.best[entry] * heavy, minlength=self.blocks)
+        order = np.argsort(-bound, kind="stable")
+        ids, scores, seen = *none, 0
+        for n in range(visits or self.blocks):
+            some = order[seen : seen + (VISIT << min(n, 6))]
+            some = some[bound[some] > max(0.0, floor * (1 - SLACK) - SLACK)]
+            if not len(some):
+                break
+            seen += VISIT << min(n, 6)
             taken = np.zeros(self.blocks, dtype=bool)
-            taken[blocks] = True
-            mine = taken[of]
-            total = np.bincount(at[mine], value[mine], minlength=len(self.ids))
-            hit = np.flatnonzero(total > 0)
-            score, ids = np.concatenate([before[0], total[hit]]), np.concatenate([before[1], self.ids[hit]])
+            taken[some] = True
+            chosen = np.flatnonzero(taken[of])
+            mine = entry[chosen]
+            posting = _spread(self.start[mine], self.size[mine])
+            self.read += len(posting)
+            local = np.empty(self.blocks, dtype=np.int64)
+            local[some] = np.arange(len(some))
+            doc = self.docs[posting]
+            total = np.bincount(local[doc // self.block] * self.block + doc % self.block, self.impact[posting] * np.repeat(heavy[chosen], self.size[mine]), minlength=len(some) * self.block)
+            hit = np.flatnonzero(total > max(0.0, floor * (1 - SLACK) - SLACK))
+            where = some[hit // self.block] * self.block + hit % self.block
+            ids, scores = np.concatenate([ids, self.ids[where]]), np.concatenate([scores, total[hit]])
             if own is not None:
-                score, ids = score[ids != own], ids[ids != own]
-            if len(score) > k:
-                near = score >= np.partition(score, -k)[-k]
-                score, ids = score[near], ids[near]
-            first = np.lexsort((ids, -score))[:k]
-            return score[first], ids[first]
-
-        # The blocks of greatest bound give the k-th score that the others' bounds are held against.
-        start = max(4, -(-2 * k // self.block))
-        best = best_of(order[:start], (np.zeros(0), np.zeros(0, dtype=np.int64)))
-        rest = order[start:]
-        rest = rest[bound[rest] > 0]
-        if len(best[0]) == k:  # a little slack, so that rounding never drops a tie
-            rest = rest[bound[rest] >= best[0][-1] * (1 - 1e-12) - 1e-9]
-        if len(rest):
-            best = best_of(rest, best)
-        return list(zip(best[1].tolist(), best[0].tolist(), strict=True))
-
-
-def search(docs: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int = 10_000, query_batch: int = 3_000, block: int = 32) -> DataFrame:
-    """(query_id, rank, doc_id, score) for each row of ``queries`` (query_id, text) against all rows of ``docs`` (doc_id, text)."""
-    spark = docs.sparkSession
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    wanted = written(queries.select(F.col("query_id").cast("long").alias("query_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).where("query_id IS NOT NULL"), "queries")
-    words = F.array_remove(F.split(F.lower("text"), r"[\x20\x09-\x0D]+"), "")
-    size = base.select(F.size(words).alias("n")).agg(F.count("*").alias("n"), F.sum("n").alias("words")).first()
-    n, mean = size["n"], max((size["words"] or 0) / max(size["n"], 1), 1e-9)
-    asked = wanted.count()
-    shards, batches = max(1, -(-n // shard_rows)), max(1, -(-asked // query_batch))
-
-    def distinct(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: Counter = Counter()
-        for pdf in parts:
-            for text in pdf["text"]:
-                held.update(set(tokens_of(text)))
-                if len(held) > 300_000:
-                    yield pd.DataFrame({"word": list(held), "df": list(held.values())})
-                    held = Counter()
-        yield pd.DataFrame({"word": list(held), "df": list(held.values())}).astype({"word": str, "df": "int64"})
-
-    df = base.select("text").mapInPandas(distinct, "word string, df long").groupBy("word").agg(F.sum("df").alias("df"))
-    named = wanted.select("text").mapInPandas(distinct, "word string, df long").select("word").distinct()
-    df = written(df.join(named, "word"), "df")
-
-    # Each task is one shard under one batch of queries, with the words of that batch: both are bounded.
-    def weigh(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in parts:
+                ids, scores = ids[ids != own], scores[ids != own]
+            if len(scores) > k:
+                near = scores >= np.partition(scores, -k)[-k]
+                ids, scores = ids[near], scores[near]
+            if len(scores) >= k:
+                floor = max(floor, np.partition(scores, -k)[-k])
+        self.listed += int(self.size[entry].sum())
+        first = np.lexsort((ids, -scores))[:k]
+        return ids[first], scores[first]
+
+
+def write_index(docs: DataFrame, folder: str, shard_bytes: int) -> DataFrame:
+    """Index all of ``docs`` (doc_id, text); the manifest (path, docs, words), kept in the shared folder."""
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        context = TaskContext.get()
+        ids, texts, size, k = [], [], 0, 0
+
+        def flush() -> pd.DataFrame:
+            path = f"{folder}/shard-{context.partitionId():06d}-{k:04d}"
+            held = shard_of(ids, texts)
+            put(path, held, context.taskAttemptId())
+            return pd.DataFrame({"path": [path], "docs": [len(ids)], "words": [int(held["length"].sum())]})
+
+        for pdf in batches:
+            for i, text in zip(pdf["doc_id"], pdf["text"], strict=True):
+                ids.append(None if pd.isna(i) else int(i))
+                texts.append(text)
+                size += len(text or "") + 16
+                if size >= shard_bytes:
+                    yield flush()
+                    ids, texts, size, k = [], [], 0, k + 1
+        if ids:
+            yield flush()
+
+    return written(docs.mapInPandas(rows, "path string, docs long, words long"), "manifest")
+
+
+def document_counts(manifest: DataFrame) -> DataFrame:
+    """(word, df) over all shards."""
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for path in pdf["path"]:
+                held = get(path)
+                for at in range(0, len(held["words"]), 100_000):
+                    yield pd.DataFrame({"word": held["words"][at : at + 100_000], "df": held["df"][at : at + 100_000]})
+
+    return manifest.select("path").mapInPandas(rows, "word binary, df long").groupBy("word").agg(F.sum("df").alias("df"))
+
+
+def write_queries(queries: DataFrame, folder: str, counts: DataFrame, n: int, per_file: int) -> DataFrame:
+    """Files of (query_id, words, weights); their manifest (path)."""
+
+    def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
             for q, text in zip(pdf["query_id"], pdf["text"], strict=True):
                 tf = Counter(tokens_of(text))
                 if tf:
-                    yield pd.DataFrame({"query_id": q, "word": list(tf), "tf": list(tf.values())})
-
-    terms = wanted.mapInPandas(weigh, "query_id long, word string, tf long").join(df, "word")  # queries are the smaller side
-    per_query = terms.groupBy("query_id").agg(F.collect_list("word").alias("words"), F.collect_list("tf").alias("tfs"), F.collect_list("df").alias("dfs"))
-    sent = per_query.withColumn("batch", F.pmod(F.xxhash64("query_id"), F.lit(batches)))
-    sent = sent.select("query_id", "words", "tfs", "dfs", "batch", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
-    dealt = base.where("doc_id IS NOT NULL").withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(shards)).cast("int"))
-    dealt = dealt.select("doc_id", "text", "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(batches - 1).cast("long"))).alias("batch"))
-
-    def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        known = {w: int(d) for ws, ds in zip(right["words"], right["dfs"], strict=True) for w, d in zip(ws, ds, strict=True)}
-        out = []
-        if len(left):
-            index = Index(left["doc_id"].tolist(), left["text"].tolist(), known, n, mean, block)
-            for q, ws, tfs in right[["query_id", "words", "tfs"]].itertuples(index=False):
-                out += [(q, i, s) for i, s in index.top(dict(zip(ws, map(int, tfs), strict=True)), k, q)]
-        return pd.DataFrame(out, columns=["query_id", "doc_id", "score"]).astype({"query_id": "int64", "doc_id": "int64", "score": "float64"})
-
-    hits = dealt.groupBy("shard", "batch").cogroup(sent.groupBy("shard", "batch")).applyInPandas(run, "query_id long, doc_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id"))
-    return written(hits, "hits").withColumn("rank", rank.cast("long")).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
+                    yield pd.DataFrame({"query_id": int(q), "word": list(tf), "tf": list(tf.values())})
+
+    terms = queries.mapInPandas(weigh, "query_id long, word binary, tf long").groupBy("query_id", "word").agg(F.sum("tf").alias("tf")).join(counts, "word")
+    weight = F.col("tf") * F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    per_query = terms.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("word", weight.alias("weight")))).alias("terms"))
+    per_query = per_query.select("query_id", "terms.word", "terms.weight")
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        context, held, k, size = TaskContext.get(), [], 0, 0
+
+        def flush() -> pd.DataFrame:
+            path = f"{folder}/queries-{context.partitionId():06d}-{k:04d}"
+            put(path, held, context.taskAttemptId())
+            return pd.DataFrame({"path": [path]})
+
+        for pdf in batches:
+            for q, words, weights in zip(pdf["query_id"], pdf["word"], pdf["weight"], strict=True):
+                held.append((int(q), list(words), np.asarray(weights, dtype=float)))
+                size += len(words)
+                if size >= per_file:
+                    yield flush()
+                    held, size, k = [], 0, k + 1
+        if held:
+            yield flush()
+
+    return written(per_query.mapInPandas(rows, "path string"), "query-files")
+
 
+def run_round(manifest: DataFrame, asked: DataFrame, floors: str | None, k: int, mean: float, block: int, visits: int | None) -> DataFrame:
+    """(query_id, doc_id, score): each shard's best for each query, at the query's floor or more. ``floors`` is a folder of (query_id, floor) files."""
+    spark = manifest.sparkSession
+    # One task for each shard; the lists of paths are small (bounded size each), texts and indexes stay in the files.
+    query_paths = sorted(r["path"] for r in asked.collect())
 
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for path in pdf["path"]:
+                shard = Shard(get(path), mean, block)
+                for at in query_paths:
+                    floor = get(at.replace("/queries-", "/floors-")) if floors else {}
+                    out = [(q, *shard.top(words, weights, k, q, floor.get(q, 0.0), visits)) for q, words, weights in get(at)]
+                    size = [len(x[1]) for x in out]
+                    yield pd.DataFrame({"query_id": np.repeat([x[0] for x in out], size), "doc_id": np.concatenate([x[1] for x in out]), "score": np.concatenate([x[2] for x in out])})
+
+    n = max(1, manifest.count())
+    return manifest.select("path").repartition(min(n, max(partitions_for(spark), n)), "path").mapInPandas(rows, "query_id long, doc_id long, score double")
+
+
+def write_floors(best: DataFrame, asked: DataFrame, k: int) -> str:
+    """Beside each file of queries, the k-th best score so far of those that have one."""
+    place = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
+    kth = best.withColumn("place", F.row_number().over(place)).where(F.col("place") == k).select("query_id", F.col("score").alias("floor"))
+
+    def named(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for path in pdf["path"]:
+                yield pd.DataFrame({"query_id": [x[0] for x in get(path)], "path": path})
+
+    pairs = asked.mapInPandas(named, "query_id long, path string").join(kth, "query_id", "left")
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        attempt, held, now = TaskContext.get().taskAttemptId(), {}, None
+        for pdf in batches:
+            for path, own in pdf.groupby("path", sort=True):
+                if path != now:
+                    if now:
+                        put(now.replace("/queries-", "/floors-"), held, attempt)
+                        yield pd.DataFrame({"path": [now]})
+                    now, held = path, {}
+                known = own.dropna(subset=["floor"])
+                held |= dict(zip(known["query_id"].astype("int64").tolist(), known["floor"].tolist(), strict=True))
+        if now:
+            put(now.replace("/queries-", "/floors-"), held, attempt)
+            yield pd.DataFrame({"path": [now]})
+
+    n = partitions_for(best.sparkSession)
+    drop_table(written(pairs.repartition(n, "path").sortWithinPartitions("path").mapInPandas(rows, "path string"), "floors"))
+    return "floors"
+
+
+def search(docs: DataFrame, queries: DataFrame, k: int = 10, shard_bytes: int = 24 << 20, query_words: int = 200_000, block: int = 64) -> DataFrame:
+    """(query_id, rank, doc_id, score) for each query_id of ``queries`` (query_id, text) against all rows of ``docs`` (doc_id, text)."""
+    spark = docs.sparkSession
+    folder = new_path(spark, "index")
+    manifest = write_index(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), folder, shard_bytes)
+    size = manifest.agg(F.coalesce(F.sum("docs"), F.lit(0)).alias("n"), F.coalesce(F.sum("words"), F.lit(0)).alias("words")).first()
+    n, mean = size["n"], max(size["words"] / max(size["n"], 1), 1e-9)
+    wanted = queries.where("query_id IS NOT NULL").select(F.col("query_id").cast("long").alias("query_id"), F.col("text").cast("string").alias("text"))
+    asked = write_queries(wanted, folder, document_counts(manifest), n, query_words)
+    first = written(run_round(manifest, asked, None, k, mean, block, 1), "first")
+    floors = write_floors(first, asked, k)
+    hits = written(run_round(manifest, asked, floors, k, mean, block, None), "hits")
+    drop_table(first)
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id"))
+    return hits.withColumn("rank", rank.cast("long")).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")

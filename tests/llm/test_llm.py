@@ -369,7 +369,7 @@ def test_search_is_exact(spark, odd, empty):
     texts = [(k, prose(25, 8000 + k % 60)) for k in range(200)]
     df = spark.createDataFrame(texts, "doc_id long, text string")
     asked = df.where("doc_id % 50 = 0").select(F.col("doc_id").alias("query_id"), "text")
-    got = topk_search.search(df, asked, k=5, shard_rows=60, query_batch=3).collect()
+    got = topk_search.search(df, asked, k=5, shard_bytes=3000, query_words=40, block=8).collect()
     counts = {i: Counter(topk_search.tokens_of(t)) for i, t in texts}
     n, mean = len(texts), sum(sum(c.values()) for c in counts.values()) / len(texts)
     df_ = Counter(w for c in counts.values() for w in c)
@@ -381,10 +381,27 @@ def test_search_is_exact(spark, odd, empty):
             if i != q and s > 0:
                 scores.append((-round(s, 9), i))
         assert [r.doc_id for r in sorted((r for r in got if r.query_id == q), key=lambda r: r.rank)] == [i for _, i in sorted(scores)[:5]]
+    doubled = topk_search.search(df, asked.union(asked.where("query_id = 50")).union(spark.createDataFrame([(50, "river")], "query_id long, text string")), k=5).collect()
+    added = topk_search.search(df, asked.where("query_id <> 50").union(spark.createDataFrame([(50, f"{texts[50][1]} {texts[50][1]} river")], "query_id long, text string")), k=5).collect()
+    assert sorted((r.query_id, r.rank, r.doc_id, round(r.score, 9)) for r in doubled) == sorted((r.query_id, r.rank, r.doc_id, round(r.score, 9)) for r in added)
     some = odd.select(F.col("doc_id").alias("query_id"), "text")
     assert topk_search.search(odd, some, k=3).count() > 0 and topk_search.search(empty, some.where("false")).count() == 0
 
 
+def test_search_leaves_blocks_unread():
+    """Four kinds of text: a query of one kind reads few of the others' postings, and finds what reading all finds."""
+    vocabulary = [prose(150, 60 + v).split() for v in range(4)]
+    r = random.Random(9)
+    texts = [" ".join(r.choice(vocabulary[k % 4]) for _ in range(40)) for k in range(1200)]
+    index = topk_search.Shard(topk_search.shard_of(list(range(1200)), texts), 40.0, 32)
+    whole = topk_search.Shard(topk_search.shard_of(list(range(1200)), texts), 40.0, 1200)
+    for q in range(0, 1200, 37):
+        words = sorted(set(topk_search.tokens_of(texts[q])))
+        got, want = (x.top(words, np.ones(len(words)), 10, q) for x in (index, whole))
+        assert got[0].tolist() == want[0].tolist() and np.allclose(got[1], want[1])
+    assert index.read < 0.9 * index.listed and whole.read == whole.listed == index.listed
+
+
 def test_pipeline_on_planted_cases(spark, tmp_path):
     import corpus_pipeline
 
