@@ -6,8 +6,8 @@ with idf = ln(1 + (N - df + 0.5) / (df + 0.5)) over the whole corpus, so a score
 Plan. (1) Index, once: each task streams its documents into shards of ``shard_bytes`` of text. A shard is a file in the shared folder: its words,
 their postings (place, count) in document order, lengths and doc_ids. Documents of a shard are ordered by a common word and by length, so
 that alike documents share blocks of ``block``. (2) Statistics come from the shards: N, the mean length, and df of the queries' words, which go
-into the queries' weights. (3) Queries are written to files of bounded size, and each task reads a shard once and runs the queries past it, file
-by file (a stated query set against all rows). A query's words have one entry per block that they occur in, with the greatest impact there;
+into the queries' weights. (3) Queries are written to files of bounded size, and each task runs a file of queries past a group of shards, one shard
+at a time (a stated query set against all rows). A query's words have one entry per block that they occur in, with the greatest impact there;
 the sums of these bound the scores of a block. Blocks are visited by falling bound while it reaches the k-th score so far, which rises with each
 visit; of the postings, only the ranges of visited blocks are read. A first round visits the best few blocks of every shard; the k-th
 best score over all shards then is the threshold that each shard starts from in the second round. (4) What reaches it is merged. Ties go to the lesser doc_id.
@@ -209,7 +209,7 @@ def write_queries(queries: DataFrame, folder: str, counts: DataFrame, n: int, pe
                 if tf:
                     yield pd.DataFrame({"query_id": int(q), "word": list(tf), "tf": list(tf.values())})
 
-    terms = queries.mapInPandas(weigh, "query_id long, word binary, tf long").groupBy("query_id", "word").agg(F.sum("tf").alias("tf")).join(counts, "word")
+    terms = queries.mapInPandas(weigh, "query_id long, word binary, tf long").groupBy("query_id", "word").agg(F.sum("tf").alias("tf")).join(counts.hint("merge"), "word")  # neither side has a bound, so neither is broadcast
     weight = F.col("tf") * F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
     per_query = terms.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("word", weight.alias("weight")))).alias("terms"))
     per_query = per_query.select("query_id", "terms.word", "terms.weight")
@@ -235,27 +235,41 @@ def write_queries(queries: DataFrame, folder: str, counts: DataFrame, n: int, pe
     return written(per_query.mapInPandas(rows, "path string"), "query-files")
 
 
-def run_round(manifest: DataFrame, asked: DataFrame, floors: str | None, k: int, mean: float, block: int, visits: int | None) -> DataFrame:
-    """(query_id, doc_id, score): each shard's best for each query, at the query's floor or more. ``floors`` is a folder of (query_id, floor) files."""
+def run_round(manifest: DataFrame, asked: DataFrame, floors: bool, k: int, mean: float, block: int, visits: int | None) -> DataFrame:
+    """(query_id, doc_id, score): the best for each query of each group of shards, at the query's floor or more.
+
+    A task is one group of shards and one file of queries: it takes the shards one at a time and carries the rising thresholds along, and
+    sends on k rows a query, so that what is sent grows with the queries and with the cluster's tasks, not with queries times shards.
+    """
     spark = manifest.sparkSession
-    # One task for each shard; the lists of paths are small (bounded size each), texts and indexes stay in the files.
-    query_paths = sorted(r["path"] for r in asked.collect())
+    groups = max(12, spark.sparkContext.defaultParallelism)
+    dealt = manifest.select("path", F.pmod(F.row_number().over(Window.orderBy("path")), F.lit(groups)).alias("group")).groupBy("group").agg(F.sort_array(F.collect_list("path")).alias("shards"))
+    tasks = dealt.crossJoin(asked.select("path"))  # two lists of file names: a stated query set against all shards
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for path in pdf["path"]:
-                shard = Shard(get(path), mean, block)
-                for at in query_paths:
-                    floor = get(at.replace("/queries-", "/floors-")) if floors else {}
-                    out = [(q, *shard.top(words, weights, k, q, floor.get(q, 0.0), visits)) for q, words, weights in get(at)]
-                    size = [len(x[1]) for x in out]
-                    yield pd.DataFrame({"query_id": np.repeat([x[0] for x in out], size), "doc_id": np.concatenate([x[1] for x in out]), "score": np.concatenate([x[2] for x in out])})
-
-    n = max(1, manifest.count())
-    return manifest.select("path").repartition(min(n, max(partitions_for(spark), n)), "path").mapInPandas(rows, "query_id long, doc_id long, score double")
-
-
-def write_floors(best: DataFrame, asked: DataFrame, k: int) -> str:
+            for shards, at in zip(pdf["shards"], pdf["path"], strict=True):
+                asked_here = get(at)
+                floor = get(at.replace("/queries-", "/floors-")) if floors else {}
+                best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+                for path in shards:
+                    shard = Shard(get(path), mean, block)
+                    for q, words, weights in asked_here:
+                        ids, scores = shard.top(words, weights, k, q, floor.get(q, 0.0), visits)
+                        if q in best:
+                            ids, scores = np.concatenate([best[q][0], ids]), np.concatenate([best[q][1], scores])
+                            first = np.lexsort((ids, -scores))[:k]
+                            ids, scores = ids[first], scores[first]
+                        best[q] = ids, scores
+                        if len(scores) == k:
+                            floor[q] = max(floor.get(q, 0.0), float(scores[-1]))
+                yield pd.DataFrame({"query_id": np.repeat(list(best), [len(x[0]) for x in best.values()]), "doc_id": np.concatenate([x[0] for x in best.values()]), "score": np.concatenate([x[1] for x in best.values()])})
+
+    n = max(1, tasks.count())
+    return tasks.repartition(n, "group", "path").mapInPandas(rows, "query_id long, doc_id long, score double")
+
+
+def write_floors(best: DataFrame, asked: DataFrame, k: int) -> None:
     """Beside each file of queries, the k-th best score so far of those that have one."""
     place = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
     kth = best.withColumn("place", F.row_number().over(place)).where(F.col("place") == k).select("query_id", F.col("score").alias("floor"))
@@ -284,10 +298,9 @@ def write_floors(best: DataFrame, asked: DataFrame, k: int) -> str:
 
     n = partitions_for(best.sparkSession)
     drop_table(written(pairs.repartition(n, "path").sortWithinPartitions("path").mapInPandas(rows, "path string"), "floors"))
-    return "floors"
 
 
-def search(docs: DataFrame, queries: DataFrame, k: int = 10, shard_bytes: int = 24 << 20, query_words: int = 200_000, block: int = 64) -> DataFrame:
+def search(docs: DataFrame, queries: DataFrame, k: int = 10, shard_bytes: int = 24 << 20, query_words: int = 1_000_000, block: int = 64) -> DataFrame:
     """(query_id, rank, doc_id, score) for each query_id of ``queries`` (query_id, text) against all rows of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
     folder = new_path(spark, "index")
@@ -296,9 +309,9 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, shard_bytes: int =
     n, mean = size["n"], max(size["words"] / max(size["n"], 1), 1e-9)
     wanted = queries.where("query_id IS NOT NULL").select(F.col("query_id").cast("long").alias("query_id"), F.col("text").cast("string").alias("text"))
     asked = write_queries(wanted, folder, document_counts(manifest), n, query_words)
-    first = written(run_round(manifest, asked, None, k, mean, block, 1), "first")
-    floors = write_floors(first, asked, k)
-    hits = written(run_round(manifest, asked, floors, k, mean, block, None), "hits")
+    first = written(run_round(manifest, asked, False, k, mean, block, 1), "first")
+    write_floors(first, asked, k)
+    hits = written(run_round(manifest, asked, True, k, mean, block, None), "hits")
     drop_table(first)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id"))
     return hits.withColumn("rank", rank.cast("long")).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
