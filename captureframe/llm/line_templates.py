@@ -5,19 +5,21 @@ a fixed depth: the number of tokens, then the ``lead`` first tokens with fields
 most frequent masked lines stand for templates, and lines that equal one in at least ``similar`` of their places join it, with the
 places that differ as further fields; this is repeated on the others until no line of a leaf is left (see ``grouped``).
 
-A template is dropped when it recurs: in ``least`` or more documents for lines of ``long`` tokens and over, in ``least_short`` or more for
-shorter ones of at least ``short`` tokens. Documents are counted by signature (the least hash among their longer sentences), so that a
-document and its copies count about once, and a line all of whose occurrences lie in copies of one document stays. ``spread`` is the least share
-of signatures among the different texts that hold the line.
+A line is dropped when it, or its template, recurs: in ``needed`` documents or more by its number of tokens (``NEEDED``: a passage of 50 tokens in
+two, a line of 8 in three, one of 3 in ten; shorter lines say too little to be told from common words and always stay). Documents count
+as different when their texts are, but copies of one document count once: a document half or more of whose tokens are in candidate
+lines (lines with enough different texts) is a copy, and counts by the least hash of its candidate templates, under three hashes, of which the
+least count holds; all others host the line and count by their text. So a line in any number of otherwise different documents goes, and the
+lines of a document and its edited copies stay for near-duplicate removal.
 
-Plan, in DataFrame operations only. Pass 1 counts signatures per leaf from (leaf, signature) pairs, folded before the shuffle; leaves
-under the least count can hold no recurring template and go no further. Pass 2 keeps the lines of the other leaves, a small part
-of the corpus, and finds templates and what recurs. Pass 3 takes the lines out of their documents. Common lines are folded
-within each task before every shuffle, so no task gathers a line's occurrences.
+Plan, in DataFrame operations only. Lines are made of the texts once and written with 64-bit hashes of leaf and template; counts of different
+texts per leaf read the hashes alone, and only lines of leaves that can hold a recurring template go further. Counts fold within each task
+before every shuffle. Joins by template have a key for each common line; adaptive execution splits these.
 
 Defined results: null text stays null, with no lines; empty and white-space lines have no tokens and are kept; a document of
-which nothing would be left stays as it is (that is a copied document, not one with lines from elsewhere); repeated rows each get the same result; columns of the input all stay, and ``n_lines`` and ``n_dropped``
-are added or replaced; an empty table gives no rows.
+which nothing would be left stays as it is (that is a copied document, not one with lines from elsewhere); a very long text is many lines or one
+long line, of any length; ties go to the greater text; repeated rows each get the same result; columns of the input all stay, whatever their
+names, and ``n_lines`` and ``n_dropped`` are added (columns of these names are replaced where the caller leaves ``names`` as it is); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,10 +27,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from captureframe.llm.shared import written
+from captureframe.llm.shared import drop_table, quoted, unused, written
 
 FIELD = "<*>"
 MISSING_ID = -(1 << 63)
+#: (tokens, documents): a line of so many tokens or more recurs in so many documents.
+NEEDED = ((50, 2), (8, 3), (3, 10))
+HASHES = 3
 
 
 def masked(line: Column) -> Column:
@@ -38,24 +43,17 @@ def masked(line: Column) -> Column:
     return F.when(line.rlike(r"[0-9@\x09-\x0D]|  |://"), F.regexp_replace(spaced, r"[^ ]*(?:[0-9@]|://)[^ ]*", FIELD)).otherwise(F.trim(line))
 
 
-def signature(text: Column) -> Column:
-    """The least hash among the sentences of 20 characters and over; of the whole text where there is none."""
-    long = F.filter(F.split(text, r"[.!?\n]+"), lambda s: F.length(s) >= 20)
-    return F.coalesce(F.array_min(F.transform(long, lambda s: F.md5(s.cast("binary")))), F.md5(text.cast("binary")))
-
-
 def exploded(docs: DataFrame, lead: int) -> DataFrame:
-    """(key, text_key, sig, line_no, template, n, leaf): the lines that have tokens."""
-    # The signature is a column before lines are made of the text; beside the generator it would be computed for each line.
-    signed = docs.select("key", "text_key", signature(F.col("text")).alias("sig"), "text")
-    lines = signed.select("key", "text_key", "sig", F.posexplode(F.split(F.lower("text"), "\n")).alias("line_no", "line"))
-    own = lines.select("key", "text_key", "sig", "line_no", masked(F.col("line")).alias("template")).where("template <> ''")
-    n = F.size(F.split("template", " "))
-    return own.withColumn("n", n).withColumn("leaf", F.concat_ws(" ", F.col("n").cast("string"), F.substring_index("template", " ", lead)))
+    """(key, text_key, line_no, n, leaf, th, template): the lines that have tokens; leaf and th are hashes."""
+    lines = docs.select("key", "text_key", F.posexplode(F.split(F.lower("text"), "\n")).alias("line_no", "line"))
+    own = lines.select("key", "text_key", "line_no", masked(F.col("line")).alias("template")).where("template <> ''")
+    n = F.length("template") - F.length(F.replace("template", F.lit(" "), F.lit(""))) + 1
+    return own.select("key", "text_key", "line_no", n.alias("n"), F.xxhash64(n, F.substring_index("template", " ", lead)).alias("leaf"), F.xxhash64("template").alias("th"), "template")
 
 
-def needed(n: Column, short: int, long: int, least_short: int, least: int) -> Column:
-    return F.when(n >= long, least).when(n >= short, least_short)
+def needed(n: Column, rules: tuple[tuple[int, int], ...]) -> Column:
+    """Documents that a line of ``n`` tokens must be in; null where it never goes."""
+    return F.coalesce(*[F.when(n >= tokens, documents) for tokens, documents in sorted(rules, reverse=True)])
 
 
 def matching(one: str, other: str) -> Column:
@@ -94,43 +92,53 @@ def grouped(kinds: DataFrame, similar: float, max_rounds: int = 60) -> DataFrame
     raise RuntimeError("line templates did not settle")
 
 
-def one_stem(kinds: DataFrame, similar: float) -> DataFrame:
-    """(leaf, n, template, group) with the most frequent line of a leaf as its only stem."""
-    joined = kinds.join(kinds.groupBy("leaf").agg(F.max_by("template", F.struct("times", "template")).alias("stem")), "leaf")
-    return joined.select("leaf", "n", "template", F.when((F.col("template") == F.col("stem")) | (matching("template", "stem") >= F.lit(similar) * F.col("n")), F.col("stem")).otherwise(F.col("template")).alias("group"))
+def candidates(members: DataFrame, rules: tuple[tuple[int, int], ...]) -> DataFrame:
+    """(by, id, n): templates (by 0) and masked lines (by 1) in enough different texts. ``members`` has n, gid, th, text_key."""
+    ids = F.array(F.struct(F.lit(0).alias("by"), F.col("gid").alias("id")), F.struct(F.lit(1).alias("by"), F.col("th").alias("id")))
+    held = members.select("n", "text_key", F.explode(ids).alias("x")).select("x.by", "x.id", "n", "text_key").distinct()
+    return held.groupBy("by", "id", "n").agg(F.count("*").alias("texts")).where(F.col("texts") >= needed(F.col("n"), rules)).drop("texts")
 
 
-def recurring(lines: DataFrame, short: int, long: int, least_short: int, least: int, similar: float, spread: float, all_stems: bool) -> DataFrame:
-    """(leaf, template): masked lines that recur, or whose template does. ``lines`` has leaf, n, template, sig, text_key."""
+def recurring(lines: DataFrame, totals: DataFrame, similar: float, rules: tuple[tuple[int, int], ...], copied: float) -> DataFrame:
+    """(key, text_key, line_no): the lines that go. ``lines`` are those of full leaves, ``totals`` the tokens of each document."""
     kinds = lines.groupBy("leaf", "n", "template").agg(F.count("*").alias("times"))
-    named = grouped(written(kinds, "kinds"), similar) if all_stems else one_stem(kinds, similar)
-    found = []
-    # A line that recurs goes whether or not its family is spread well enough.
-    for by in ("group", "template") if all_stems else ("group",):
-        held = lines.select("leaf", "n", "template", "sig", "text_key").distinct()
-        member = held.join(named, ["leaf", "n", "template"]).select("leaf", "n", "group", "sig", "text_key").distinct() if by == "group" else held
-        sigs = member.groupBy("leaf", "n", by, "sig").agg(F.count("*").alias("texts")).groupBy("leaf", "n", by).agg(F.count("*").alias("sigs"), F.sum("texts").alias("texts"))
-        hit = sigs.where((F.col("sigs") >= needed(F.col("n"), short, long, least_short, least)) & (F.col("sigs") >= F.lit(spread) * F.col("texts")))
-        found.append(named.join(hit.select("leaf", by), ["leaf", by]).select("leaf", "template"))
-    return found[0].union(found[1]).distinct() if all_stems else found[0]
-
-
-def drop_recurring(docs: DataFrame, lead: int = 3, short: int = 3, long: int = 8, least_short: int = 10, least: int = 3, similar: float = 0.8, spread: float = 0.2, all_stems: bool = True) -> DataFrame:
-    """``docs`` without the lines of recurring templates, and with n_lines and n_dropped; without ``all_stems`` a leaf has one stem, as in the SQL of op8."""
+    named = grouped(written(kinds, "kinds"), similar).select("leaf", F.xxhash64("template").alias("th"), F.xxhash64("leaf", "group").alias("gid"))
+    members = written(lines.select("key", "text_key", "line_no", "n", "leaf", "th").join(named, ["leaf", "th"]).drop("leaf"), "members")
+    many = written(candidates(members, rules), "candidates")
+    ids = F.array(F.struct(F.lit(0).alias("by"), F.col("gid").alias("id")), F.struct(F.lit(1).alias("by"), F.col("th").alias("id")))
+    # One row for each line and each of its two names that is a candidate.
+    held = members.withColumn("x", F.explode(ids)).select("key", "text_key", "line_no", "n", "gid", "x.by", "x.id").join(many, ["by", "id", "n"], "left_semi")
+    held = written(held, "held")
+    once = held.groupBy("key", "text_key", "line_no", "n", "gid").agg(F.lit(1).alias("one"))
+    hashes = [F.min(F.xxhash64("gid", F.lit(k))).alias(f"h{k}") for k in range(HASHES)]
+    part = once.groupBy("key", "text_key").agg(F.sum("n").alias("tokens"), *hashes).join(totals, ["key", "text_key"])
+    copy = F.col("tokens") >= F.lit(copied) * F.col("total")
+    signed = part.select("key", "text_key", F.array(*[F.when(copy, F.col(f"h{k}")).otherwise(F.xxhash64("text_key", F.lit(k))) for k in range(HASHES)]).alias("sigs"))
+    seen = held.join(signed, ["key", "text_key"]).select("by", "id", "n", F.posexplode("sigs").alias("k", "sig")).distinct()
+    counts = seen.groupBy("by", "id", "n", "k").agg(F.count("*").alias("documents")).groupBy("by", "id", "n").agg(F.min("documents").alias("documents"))
+    hit = written(counts.where(F.col("documents") >= needed(F.col("n"), rules)).drop("documents"), "recurring")
+    return held.join(hit, ["by", "id", "n"], "left_semi").select("key", "text_key", "line_no").distinct()
+
+
+def drop_recurring(docs: DataFrame, lead: int = 3, similar: float = 0.8, rules: tuple[tuple[int, int], ...] = NEEDED, copied: float = 0.5, names: tuple[str, str] = ("n_lines", "n_dropped")) -> DataFrame:
+    """``docs`` without the lines of recurring templates, and with their numbers of lines and dropped lines as ``names``."""
+    docs = docs.drop(*names)
+    key, text_key, gone, rest = unused(docs, "key", "text_key", "gone", "rest")
     text = F.col("text").cast("string")
-    keyed = docs.drop("n_lines", "n_dropped").withColumns({"__key": F.coalesce(F.col("doc_id").cast("long"), F.lit(MISSING_ID)), "__text_key": F.xxhash64(text)})
-    lines = exploded(keyed.select(F.col("__key").alias("key"), F.col("__text_key").alias("text_key"), text.alias("text")).where("text IS NOT NULL"), lead)
-    pairs = lines.where(F.col("n") >= short).select("leaf", "n", "sig").distinct()
-    full = pairs.groupBy("leaf", "n").agg(F.count("*").alias("sigs")).where(F.col("sigs") >= needed(F.col("n"), short, long, least_short, least))
-    full = written(full.select("leaf"), "leaves")
-    kept = written(lines.join(full, "leaf", "left_semi"), "lines")
-    out = recurring(kept, short, long, least_short, least, similar, spread, all_stems)
-    gone = kept.join(out, ["leaf", "template"], "left_semi").groupBy("key", "text_key").agg(F.collect_set("line_no").alias("__gone"))
-    gone = written(gone.select(F.col("key").alias("__key"), F.col("text_key").alias("__text_key"), "__gone"), "gone")
-    joined = keyed.join(gone, ["__key", "__text_key"], "left")
+    keyed = docs.withColumns({key: F.coalesce(F.col("doc_id").cast("long"), F.lit(MISSING_ID)), text_key: F.xxhash64(text)})
+    lines = written(exploded(keyed.select(F.col(key).alias("key"), F.col(text_key).alias("text_key"), text.alias("text")).where("text IS NOT NULL"), lead), "lines")
+    pairs = lines.where(F.col("n") >= min(x for x, _ in rules)).select("leaf", "n", "text_key").distinct()
+    full = pairs.groupBy("leaf", "n").agg(F.count("*").alias("texts")).where(F.col("texts") >= needed(F.col("n"), rules)).select("leaf")
+    kept = written(lines.join(full, "leaf", "left_semi"), "kept")
+    # Rows that repeat under one doc_id and text share their lines; these count once.
+    totals = lines.select("key", "text_key", "line_no", "n").distinct().groupBy("key", "text_key").agg(F.sum("n").alias("total"))
+    out = recurring(kept, totals, similar, rules, copied)
+    dropped = written(out.groupBy("key", "text_key").agg(F.collect_set("line_no").alias(gone)).withColumnsRenamed({"key": key, "text_key": text_key}), "gone")
+    drop_table(lines)
     split = F.split(text, "\n")
-    rest = F.array_join(F.filter(split, lambda line, i: ~F.array_contains("__gone", i)), "\n")
-    lines_of = F.when(text.isNotNull(), F.size(split)).otherwise(0).cast("long")
-    left = F.coalesce(rest.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))  # else the document is a copy, not one with lines from elsewhere
-    dropped = F.when(left, F.size("__gone")).otherwise(0).cast("long")
-    return joined.select(*[F.when(left, rest).otherwise(text).alias(c) if c == "text" else F.col(c) for c in docs.drop("n_lines", "n_dropped").columns], lines_of.alias("n_lines"), dropped.alias("n_dropped"))
+    left = F.array_join(F.filter(split, lambda line, i: ~F.array_contains(gone, i)), "\n")
+    joined = keyed.join(dropped, [key, text_key], "left").withColumn(rest, F.when(F.col(gone).isNotNull(), left))
+    took = F.coalesce(F.col(rest).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))  # else the document is a copy, not one with lines from elsewhere
+    out_text = F.when(took, F.col(rest)).otherwise(text).alias("text")
+    counts = [F.when(text.isNotNull(), F.size(split)).otherwise(0).cast("long").alias(names[0]), F.when(took, F.size(gone)).otherwise(0).cast("long").alias(names[1])]
+    return joined.select(*[out_text if c == "text" else F.col(quoted(c)) for c in docs.columns], *counts)

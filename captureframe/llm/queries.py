@@ -111,31 +111,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary_tokens.round_trip(read_table(spark, sf_dir, "documents"), end_id=2)
 
 
-@query(
-    "op8_line_templates",
-    r"""
-    WITH t AS (SELECT doc_id, text, md5(text) AS text_key,
-                      coalesce(list_min(list_transform(list_filter(regexp_split_to_array(text, '[.!?\n]+'), lambda x: length(x) >= 20), lambda x: md5(x))), md5(text)) AS sig,
-                      string_split(text, chr(10)) AS ls FROM documents),
-    l AS (SELECT doc_id, text_key, sig, unnest(ls) AS line, unnest(range(len(ls))) AS line_no FROM t WHERE text IS NOT NULL),
-    m AS (SELECT doc_id, text_key, sig, line_no, regexp_replace(trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g')), '[^ ]*(?:[0-9@]|://)[^ ]*', '<*>', 'g') AS template FROM l),
-    k AS (SELECT *, len(string_split(template, ' ')) AS n, array_to_string(list_slice(string_split(template, ' '), 1, 3), ' ') AS lead FROM m WHERE template <> ''),
-    kinds AS (SELECT n, lead, template, count(*) AS times FROM k GROUP BY ALL),
-    stems AS (SELECT n, lead, max(struct_pack(a := times, b := template)).b AS stem FROM kinds GROUP BY n, lead),
-    named AS (SELECT n, lead, template, CASE WHEN len(list_filter(list_zip(string_split(template, ' '), string_split(stem, ' ')), lambda x: x[1] = x[2])) >= 0.8::DOUBLE * n THEN stem ELSE template END AS grp
-              FROM kinds JOIN stems USING (n, lead)),
-    hit AS (SELECT n, lead, grp FROM k JOIN named USING (n, lead, template) GROUP BY n, lead, grp
-            HAVING count(DISTINCT sig) >= CASE WHEN n >= 8 THEN 3 WHEN n >= 3 THEN 10 ELSE 9e18 END AND count(DISTINCT sig) >= 0.2::DOUBLE * count(DISTINCT text_key)),
-    gone AS (SELECT doc_id, list(DISTINCT line_no) AS gone FROM k JOIN named USING (n, lead, template) JOIN hit USING (n, lead, grp) GROUP BY doc_id),
-    r AS (SELECT t.doc_id, text, ls, gone, array_to_string(list_transform(list_filter(range(len(ls)), lambda i: NOT list_contains(gone, i)), lambda i: ls[i + 1]), chr(10)) AS rest FROM t LEFT JOIN gone ON t.doc_id = gone.doc_id),
-    f AS (SELECT *, coalesce(gone IS NOT NULL AND regexp_matches(rest, '[^\x20\x09-\x0D]'), false) AS took FROM r)
-    SELECT doc_id, cast(coalesce(len(ls), 0) AS BIGINT) AS n_lines, cast(CASE WHEN took THEN len(gone) ELSE 0 END AS BIGINT) AS n_dropped,
-           sha256(coalesce(CASE WHEN took THEN rest ELSE text END, '')) AS kept_sha256
-    FROM f
-    """,
-)
+@query("op8_line_templates")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_templates.drop_recurring(read_table(spark, sf_dir, "documents"), all_stems=False)
+    out = line_templates.drop_recurring(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 

@@ -16,9 +16,11 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; only where the session has none, one is made and set (tests)."""
+    """The folder in ``spark.checkpoint.dir``; only a local session that has none gets one of its own (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="captureframe-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -45,6 +47,28 @@ def drop_table(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def quoted(name: str) -> str:
+    """A column's name as a reference, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def columns_of(df: DataFrame) -> list:
+    """All columns of ``df`` in order."""
+    return [F.col(quoted(c)) for c in df.columns]
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def ascii_lower(col):
     """A-Z to lower case and nothing else."""
     return F.translate(col, UPPER, LOWER)
