@@ -7,12 +7,13 @@ Plan, in DataFrame operations only. (1) Count how often the corpus has each test
 the union of these over an item's windows are its seeds, so every window is reached through its rarest postings. (3) Store the training
 postings (document, position) of seed terms, and turn each into the place where the item would start: lists that are adjusted by offset
 intersect where two seeds agree on a document and a start. (4) Look up the full alignment for what is left and keep windows
-that match in every word. Postings are found under the full lower-case form of a term, which never separates equal words and is
-cheaper; step 4 compares under A-Z alone. Test terms and seeds are broadcast while they are under ``BROADCAST_TERMS`` rows, a
-checked bound; beyond it, the same joins shuffle by term, where Spark splits the lists of common terms.
+that match in every word. Postings are found under the full lower-case form of each single word, which never separates equal words (a word is
+folded alone, so what stands beside it has no say); step 4 compares under A-Z alone. Test terms, seeds and items are broadcast while the sum of
+their bytes is under a checked bound; beyond it, the same joins shuffle, where Spark splits the lists of common terms.
 
 Defined results: null and empty texts have no words; documents that repeat as whole rows are each reported; items that repeat under one
-item_id count once, and a null item_id marks words but is not listed; empty tables give no hits or no rows; other columns are ignored.
+item_id count once, and a null item_id marks words but is not listed; very long texts and items are linear work (a window's terms are found from its
+own ten places); empty tables give no hits or no rows; other columns are ignored by ``digest`` and all kept, whatever their names, by ``without_matches``.
 """
 
 from __future__ import annotations
@@ -20,9 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from captureframe.llm.shared import ALNUM_SPLIT, ascii_lower, written
+from captureframe.llm.shared import ALNUM_SPLIT, ascii_lower, bounded, columns_of, unused, written
 
-BROADCAST_TERMS = 200_000
 MISSING_ID = -(1 << 63)
 
 
@@ -31,8 +31,12 @@ def words_of(text: Column) -> Column:
     return F.coalesce(F.array_remove(F.split(text, ALNUM_SPLIT), ""), F.array().cast("array<string>"))
 
 
-def _bounded(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_TERMS else df
+def _term_bytes() -> Column:
+    return F.length("term") * 2 + 32
+
+
+def _item_bytes() -> Column:
+    return F.aggregate("words", F.lit(32), lambda acc, x: acc + F.length(x) * 2 + 16)
 
 
 def _once(col: Column, name: str) -> Column:
@@ -53,26 +57,23 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(MISSING_ID)).alias("key"), F.xxhash64(text).alias("text_key"))
 
 
-def term_counts(docs: DataFrame, terms: DataFrame, rows: int) -> DataFrame:
-    """(term, cf): occurrences in the corpus of each of ``terms``."""
-    found = docs.select(F.explode(words_of(F.lower("text"))).alias("term"))
-    if rows <= BROADCAST_TERMS:
-        return found.join(F.broadcast(terms), "term").groupBy("term").agg(F.count("*").alias("cf"))
-    return found.groupBy("term").agg(F.count("*").alias("cf")).join(terms, "term")
+def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """(term, cf): occurrences in the corpus of each of ``terms`` (marked for broadcast where they may be)."""
+    found = docs.select(F.explode(words_of(F.col("text"))).alias("word")).select(F.lower("word").alias("term"))
+    return found.join(terms, "term").groupBy("term").agg(F.count("*").alias("cf"))
 
 
 def seed_windows(docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
     """(item, at, k, seeds): each window that can occur, with the places in its item of its two rarest terms."""
     placed = items.select("item", "n", F.posexplode(F.transform("words", F.lower)).alias("pos", "term"))
     terms = written(placed.select("term").distinct(), "terms")
-    cf = term_counts(docs, terms, terms.count())
-    ranked = placed.join(cf, "term").groupBy("item", "n").agg(F.array_sort(F.collect_list(F.struct("pos", "cf"))).alias("found"))
+    cf = term_counts(docs, bounded(terms, _term_bytes()))
     k = F.least(F.lit(width), F.col("n"))
-    starts = ranked.select("item", "found", k.alias("k"), F.explode(F.sequence(F.lit(0), F.col("n") - k)).alias("at"))
-    inside = F.filter("found", lambda x: (x["pos"] >= F.col("at")) & (x["pos"] < F.col("at") + F.col("k")))
-    whole = starts.withColumn("inside", inside).where(F.size("inside") == F.col("k"))  # a term that the corpus lacks rules its windows out
-    rarest = F.slice(F.array_sort(F.transform("inside", lambda x: F.struct(x["cf"].alias("cf"), x["pos"].alias("pos")))), 1, 2)
-    return whole.select("item", "at", "k", F.transform(rarest, lambda x: x["pos"]).alias("seeds"))
+    at = F.explode(F.sequence(F.greatest(F.lit(0), F.col("pos") - k + 1), F.least("pos", F.col("n") - k))).alias("at")
+    inside = placed.join(cf, "term").select("item", k.alias("k"), "pos", "cf", at)
+    windows = inside.groupBy("item", "at", "k").agg(F.collect_list(F.struct("cf", "pos")).alias("inside"))
+    whole = windows.where(F.size("inside") == F.col("k"))  # a term that the corpus lacks rules its windows out
+    return whole.select("item", "at", "k", F.transform(F.slice(F.array_sort("inside"), 1, 2), lambda x: x["pos"]).alias("seeds"))
 
 
 def seed_terms(items: DataFrame, windows: DataFrame) -> DataFrame:
@@ -81,20 +82,23 @@ def seed_terms(items: DataFrame, windows: DataFrame) -> DataFrame:
     return seeds.join(items.select("item", "words"), "item").select(F.lower(F.element_at("words", F.col("pos") + 1)).alias("term"), "item", "pos", "need")
 
 
-def postings(docs: DataFrame, seeds: DataFrame, rows: int) -> DataFrame:
+def postings(docs: DataFrame, seeds: DataFrame) -> DataFrame:
     """(key, text_key, item, pos, need, start): every place where a seed's term stands, as the start of its item there."""
-    placed = docs.select("key", "text_key", F.posexplode(words_of(F.lower("text"))).alias("place", "term"))
-    return placed.join(_bounded(seeds, rows), "term").select("key", "text_key", "item", "pos", "need", (F.col("place") - F.col("pos")).alias("start"))
+    placed = docs.select("key", "text_key", F.posexplode(words_of(F.col("text"))).alias("place", "word")).select("key", "text_key", "place", F.lower("word").alias("term"))
+    return placed.join(bounded(seeds, _term_bytes()), "term").select("key", "text_key", "item", "pos", "need", (F.col("place") - F.col("pos")).alias("start"))
 
 
 def alignments(docs: DataFrame, benchmark: DataFrame, width: int) -> DataFrame:
-    """(key, text_key, alignments): where items may stand in a document, by agreeing seeds. ``docs`` is keyed."""
+    """(key, text_key, alignments): items and where they may stand in a document, by agreeing seeds. ``docs`` is keyed.
+
+    An item's words come once for a document, however often the item may stand there.
+    """
     items = items_of(benchmark)
     seeds = written(seed_terms(items, seed_windows(docs, items, width)), "seeds")
-    lists = postings(docs, seeds, seeds.count())
-    starts = lists.groupBy("key", "text_key", "item", "start").agg(F.count_distinct("pos").alias("agree"), F.min("need").alias("need")).where("agree >= need")
-    aligned = starts.join(_bounded(items, items.count()), "item")
-    return aligned.groupBy("key", "text_key").agg(F.collect_list(F.struct("item_id", "words", "n", "start")).alias("alignments"))
+    starts = postings(docs, seeds).groupBy("key", "text_key", "item", "start").agg(F.count_distinct("pos").alias("agree"), F.min("need").alias("need")).where("agree >= need")
+    starts = starts.groupBy("key", "text_key", "item").agg(F.collect_list("start").alias("starts"))
+    aligned = starts.join(bounded(items, _item_bytes()), "item")
+    return aligned.groupBy("key", "text_key").agg(F.collect_list(F.struct("item_id", "words", "n", "starts")).alias("alignments"))
 
 
 def exact_matches(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
@@ -105,15 +109,15 @@ def exact_matches(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> Dat
     own = F.when(F.col("alignments").isNotNull(), words_of(ascii_lower(F.col("text"))))
     worded = joined.select("doc_id", "text_key", "alignments", F.size(words_of(F.col("text"))).alias("n_words"), _once(own, "own"))
 
-    def compared(a: Column) -> Column:
-        same = F.array_join(F.transform(F.sequence(F.lit(0), a["n"] - 1), lambda j: F.when(F.get(F.col("own"), a["start"] + j) == F.get(a["words"], j), "1").otherwise("0")), "")
-        return F.struct(a["item_id"].alias("item_id"), a["start"].alias("start"), a["n"].alias("n"), F.least(F.lit(width), a["n"]).alias("k"), same.alias("same"))
+    def compared(a: Column, start: Column) -> Column:
+        same = F.array_join(F.transform(F.sequence(F.lit(0), a["n"] - 1), lambda j: F.when(F.get(F.col("own"), start + j) == F.get(a["words"], j), "1").otherwise("0")), "")
+        return F.struct(a["item_id"].alias("item_id"), start.alias("start"), a["n"].alias("n"), F.least(F.lit(width), a["n"]).alias("k"), same.alias("same"))
 
     def occurrences(a: Column) -> Column:
         at = F.filter(F.sequence(F.lit(0), a["n"] - a["k"]), lambda s: a["same"].substr(s + 1, a["k"]) == F.lit("1" * width).substr(F.lit(1), a["k"]))
         return F.struct(a["item_id"].alias("item_id"), F.flatten(F.transform(at, lambda s: F.sequence(a["start"] + s, a["start"] + s + a["k"] - 1))).alias("places"))
 
-    marked = worded.select("doc_id", "text_key", "n_words", _once(F.transform("alignments", compared), "marked"))
+    marked = worded.select("doc_id", "text_key", "n_words", _once(F.flatten(F.transform("alignments", lambda a: F.transform(a["starts"], lambda s: compared(a, s)))), "marked"))
     found = marked.select("doc_id", "text_key", "n_words", _once(F.filter(F.transform("marked", occurrences), lambda x: F.size(x["places"]) > 0), "found"))
     none = F.array()
     return found.select(
@@ -131,12 +135,12 @@ def proximity_matches(docs: DataFrame, benchmark: DataFrame, width: int = 10, sl
     items = items_of(benchmark)
     windows = written(seed_windows(docs, items, width).where(F.size("seeds") == 2), "windows")
     seeds = written(seed_terms(items, windows), "seeds")
-    lists = written(postings(docs, seeds, seeds.count()).withColumn("cell", F.floor(F.col("start") / (slop + 1))), "postings")
-    pairs = windows.select("item", F.get("seeds", F.lit(0)).alias("pos"), F.get("seeds", F.lit(1)).alias("other")).distinct()
-    left = lists.join(_bounded(pairs, pairs.count()), ["item", "pos"]).select("key", "text_key", "item", "other", F.col("start").alias("s"), F.explode(F.array(F.col("cell") - 1, F.col("cell"), F.col("cell") + 1)).alias("cell"))
+    lists = written(postings(docs, seeds).withColumn("cell", F.floor(F.col("start") / (slop + 1))), "postings")
+    pairs = written(windows.select("item", F.get("seeds", F.lit(0)).alias("pos"), F.get("seeds", F.lit(1)).alias("other")).distinct(), "pairs")
+    left = lists.join(bounded(pairs, F.lit(32)), ["item", "pos"]).select("key", "text_key", "item", "other", F.col("start").alias("s"), F.explode(F.array(F.col("cell") - 1, F.col("cell"), F.col("cell") + 1)).alias("cell"))
     right = lists.select("key", "text_key", "item", F.col("pos").alias("other"), "cell", F.col("start").alias("t"))
     near = left.join(right, ["key", "text_key", "item", "other", "cell"]).where(F.abs(F.col("s") - F.col("t")) <= slop)
-    named = near.select("key", "item").distinct().join(_bounded(items.select("item", "item_id"), items.count()), "item")
+    named = near.select("key", "item").distinct().join(items.select("item", "item_id"), "item")
     return named.select(F.nullif("key", F.lit(MISSING_ID)).alias("doc_id"), "item_id").distinct()
 
 
@@ -149,7 +153,8 @@ def digest(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
 
 def without_matches(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
     """The rows of ``docs`` in which no window of an item occurs; all columns stay. Rows without an id or text stay too if they match nothing."""
-    found = exact_matches(docs, benchmark, width).where(F.size("hits") > 0).select(F.coalesce("doc_id", F.lit(MISSING_ID)).alias("__key"), "text_key").distinct()
-    hit = written(found.withColumnRenamed("text_key", "__text_key"), "matched")
-    keyed = docs.withColumns({"__key": F.coalesce(F.col("doc_id").cast("long"), F.lit(MISSING_ID)), "__text_key": F.xxhash64(F.col("text").cast("string"))})
-    return keyed.join(hit, ["__key", "__text_key"], "left_anti").select(*docs.columns)
+    key, text_key = unused(docs, "key", "text_key")
+    found = exact_matches(docs, benchmark, width).where(F.size("hits") > 0).select(F.coalesce("doc_id", F.lit(MISSING_ID)).alias(key), F.col("text_key").alias(text_key)).distinct()
+    hit = written(found, "matched")
+    keyed = docs.withColumns({key: F.coalesce(F.col("doc_id").cast("long"), F.lit(MISSING_ID)), text_key: F.xxhash64(F.col("text").cast("string"))})
+    return keyed.join(hit, [key, text_key], "left_anti").select(*columns_of(docs))

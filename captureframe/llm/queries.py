@@ -93,12 +93,12 @@ URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.exam
     e AS (SELECT DISTINCT src, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS dst FROM l WHERE src <> ''),
     fw AS (SELECT src, dst, 0.85::DOUBLE / count(*) OVER (PARTITION BY src) AS w FROM e WHERE src <> dst),
     bw AS (SELECT dst AS src, src AS dst, 0.85::DOUBLE / count(*) OVER (PARTITION BY dst) AS w FROM e WHERE src <> dst),
-    t(k, host, m) AS (SELECT 0, host, good FROM s WHERE good > 0 UNION ALL SELECT k + 1, fw.dst, sum(m * w) FROM t JOIN fw ON t.host = fw.src WHERE k < 20 GROUP BY k, fw.dst),
-    d(k, host, m) AS (SELECT 0, host, bad FROM s WHERE bad > 0 UNION ALL SELECT k + 1, bw.dst, sum(m * w) FROM d JOIN bw ON d.host = bw.src WHERE k < 20 GROUP BY k, bw.dst),
-    tt AS (SELECT host, sum(CASE WHEN k < 20 THEN 0.15 ELSE 1 END * m) AS trust FROM t GROUP BY host),
-    dd AS (SELECT host, sum(CASE WHEN k < 20 THEN 0.15 ELSE 1 END * m) AS distrust FROM d GROUP BY host)
+    t(k, host, m) AS (SELECT 0, host, good / (SELECT sum(good) FROM s) FROM s WHERE good > 0 UNION ALL SELECT k + 1, fw.dst, sum(m * w) FROM t JOIN fw ON t.host = fw.src GROUP BY k, fw.dst HAVING sum(m * w) > 1e-12),
+    d(k, host, m) AS (SELECT 0, host, bad / (SELECT sum(bad) FROM s) FROM s WHERE bad > 0 UNION ALL SELECT k + 1, bw.dst, sum(m * w) FROM d JOIN bw ON d.host = bw.src GROUP BY k, bw.dst HAVING sum(m * w) > 1e-12),
+    tt AS (SELECT host, sum(m) / (SELECT sum(m) FROM t) AS trust FROM t GROUP BY host),
+    dd AS (SELECT host, sum(m) / (SELECT sum(m) FROM d) AS distrust FROM d GROUP BY host)
     SELECT page_id, j.host, path, hit.rule AS rule,
-           coalesce(hit.v, CASE WHEN coalesce(distrust, 0) > coalesce(trust, 0) THEN 'block' ELSE 'allow' END) AS verdict
+           coalesce(hit.v, CASE WHEN coalesce(distrust, 0) > coalesce(trust, 0) * (1 + 1e-9::DOUBLE) THEN 'block' ELSE 'allow' END) AS verdict
     FROM j LEFT JOIN tt ON j.host = tt.host LEFT JOIN dd ON j.host = dd.host
     """,
 )

@@ -69,6 +69,16 @@ def unused(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+#: Tables up to this many bytes, by a sum over the table itself, are broadcast.
+BROADCAST_BYTES = 32 << 20
+
+
+def bounded(df: DataFrame, row_bytes) -> DataFrame:
+    """``df`` (a written table), marked for broadcast where the sum of ``row_bytes`` over it is small."""
+    size = df.agg(F.sum(row_bytes)).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+
+
 def ascii_lower(col):
     """A-Z to lower case and nothing else."""
     return F.translate(col, UPPER, LOWER)

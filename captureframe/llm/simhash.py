@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from captureframe.llm.shared import drop_table, written
+from captureframe.llm.shared import columns_of, drop_table, unused, written
 
 SEED = 42
 LEAF, FANOUT = 16, 8
@@ -385,14 +385,16 @@ def one_per_group(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) ->
     to be an index key. So sections of the shingle set are printed instead (see ``section_prints``) and looked up exactly; every
     text that shares a print with others is compared, whole, with the least of them, and pairs under ``similarity`` are no links.
     Texts that share a print and are in different groups after that are compared with each other (see ``links_left``).
-    Equal texts are folded first. Null doc_ids come last in a group; a repeated row stays once.
+    Equal texts are folded first; null counts as empty. Null doc_ids come last in a group; a repeated row stays once, and of rows with one doc_id
+    and text that differ elsewhere the one whose other columns come first as JSON text. All columns stay, whatever their names.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    keyed = docs.withColumn("__key", F.sha2(text.cast("binary"), 256))
-    first = keyed.groupBy("__key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("null_id"), F.col("doc_id").cast("long").alias("doc_id"))).alias("first"))
+    key_name, id_name = unused(docs, "key", "kept_id")
+    keyed = docs.withColumn(key_name, F.sha2(text.cast("binary"), 256))
+    first = keyed.groupBy(F.col(key_name).alias("key")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("null_id"), F.col("doc_id").cast("long").alias("doc_id"))).alias("first"))
     # Texts go by a long: the place of the first 15 hexadecimal digits of their digest.
     number = F.conv(F.substring("key", 1, 15), 16, 10).cast("long")
-    texts = keyed.select(F.col("__key").alias("key"), text.alias("text")).withColumn("node", number)
+    texts = keyed.select(F.col(key_name).alias("key"), text.alias("text")).withColumn("node", number)
 
     def prints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -414,12 +416,13 @@ def one_per_group(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) ->
     found = written(both.mapInPandas(compare, "a long, b long"), "links")
     roots = connected(found)
     roots = connected(found.union(links_left(texts, sections, roots, shingle, similarity)))
-    grouped = first.select(F.col("__key").alias("key"), "first").withColumn("node", number).join(roots, "node", "left")
+    grouped = first.select("key", "first").withColumn("node", number).join(roots, "node", "left")
     best = grouped.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min_by(F.struct("key", "first"), F.struct("first", "key")).alias("kept"))
-    kept = written(best.select(F.col("kept.key").alias("__key"), F.col("kept.first.doc_id").alias("__id")), "kept")
-    # Rows that repeat a kept row are told apart only by their place, so one of them is taken.
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
-    rows = keyed.join(kept, "__key").where(same)
-    columns = docs.columns
-    out = rows.groupBy("__key").agg(F.first(F.struct(*[F.col(c) for c in columns])).alias("row"))
-    return out.select(*[F.col(f"row.`{c}`").alias(c) for c in columns])
+    kept = written(best.select(F.col("kept.key").alias(key_name), F.col("kept.first.doc_id").alias(id_name)), "kept")
+    rows = keyed.join(kept, key_name).where(F.col("doc_id").cast("long").eqNullSafe(F.col(id_name)))
+    # Rows that repeat a kept row under other columns: one of them, by its columns.
+    places = [f"c{k}" for k in range(len(docs.columns))]
+    whole = F.struct(*[c.alias(p) for c, p in zip(columns_of(docs), places, strict=True)])
+    rank = F.to_json(F.struct(*[c.alias(p) for c, p, name in zip(columns_of(docs), places, docs.columns, strict=True) if name not in ("doc_id", "text")], F.col("text").isNull().alias("null_text")))
+    out = rows.groupBy(key_name).agg(F.min_by(whole, rank).alias("row"))
+    return out.select(*[F.col(f"row.{p}").alias(c) for p, c in zip(places, docs.columns, strict=True)])

@@ -1,7 +1,9 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-Only confirmed toxic documents are learned from as a class; all else is text of unknown kind. With the class prior ``p`` (the share of
-toxic rows among the labelled training rows, or less where unlabelled text shows that it must be) the risk of calling unlabelled text clean is corrected by what toxic text adds to it:
+Only confirmed toxic documents are learned from as a class; all else is text of unknown kind, and labels other than 1 are read nowhere. The
+class prior ``p`` is estimated from unlabelled text: text of any kind has each toxic feature at least as often as its toxic part has, so the
+share of unlabelled over that of toxic texts bounds ``p`` from above, feature by feature, and the least bound (each with its sampling error added)
+is taken. With it, the risk of calling unlabelled text clean is corrected by what toxic text adds to it:
 ``p * R+(toxic) + max(0, R-(unlabelled) - p * R-(toxic))``; the corrected
 part is held at zero or above, which keeps the classifier from fitting the unlabelled part too closely. The classifier is
 linear over the presence of words and of their first letters, trained in numpy.
@@ -12,7 +14,7 @@ scored whole, once, by set intersection with the few words that weigh anything;
 
 The sampled rows are used for learning only; labels, lang, source and doc_id are no inputs of a score. Defined results: null and
 empty texts have no words and get the bias alone; labels that are null or not 1 confirm nothing; without any confirmed row every
-score is 0; repeated rows are scored each; a null doc_id counts as the empty string in the fold; an empty table gives no rows.
+score is 0; the features' ties go by the word; a very long text is read whole; other columns are ignored, or kept by ``scored``; repeated rows are scored each; a null doc_id counts as the empty string in the fold; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -71,13 +73,23 @@ def train_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps
     return theta[:n], float(theta[n])
 
 
+def prior_bound(positive: np.ndarray, unlabelled: np.ndarray, errors: float = 2.0) -> float:
+    """The share of positives among unlabelled rows, at most: the least bound over the columns and over having any of them. Rows are 0/1."""
+    if not len(positive) or not len(unlabelled):
+        return 0.5
+    p, u = (np.column_stack([x, x.any(axis=1)]).astype(float) for x in (positive, unlabelled))
+    share_p, share_u = p.mean(axis=0), u.mean(axis=0)
+    high = share_u + errors * np.sqrt(share_u * (1 - share_u) / len(u)) + 1 / len(u)
+    low = share_p - errors * np.sqrt(share_p * (1 - share_p) / len(p))
+    return float(np.clip(np.min(np.where(low > 0, high / np.maximum(low, 1e-12), 1.0)), 1e-6, 0.99))
+
+
 def learn(docs: DataFrame, labels: DataFrame, folds: int = 5, positives: int = 8000, unlabelled: int = 24000, features: int = 256, least: int = 4, least_share: float = 0.02, surprise: float = 12.0) -> tuple[dict[str, float], float]:
     """(weight of each word, bias), from the rows whose fold is not 0."""
     spark = docs.sparkSession
     trusted = labels.where(fold(F.col("doc_id"), folds) != 0)
-    prior = trusted.agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0] or 0.0
-    if not 0 < prior < 1:
-        return {}, -50.0 if not prior else 50.0
+    if trusted.where("toxic = 1").isEmpty():
+        return {}, -50.0
     order = F.xxhash64(F.col("doc_id"), F.lit(1))
     toxic_ids = trusted.where("toxic = 1").select("doc_id").distinct().orderBy(order).limit(positives)
     some_ids = docs.select("doc_id").where(fold(F.col("doc_id"), folds) != 0).orderBy(order).limit(unlabelled).distinct()
@@ -107,7 +119,7 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = 5, positives: int = 8
     chosen = [r["word"] for r in ranked.orderBy(F.desc("evidence"), "word").limit(features).collect()]
     if not chosen:
         drop_table(texts)
-        return {}, float(np.log(prior / (1 - prior)))
+        return {}, -50.0  # nothing tells toxic text from other text
     place = {w: i for i, w in enumerate(chosen)}
 
     def bits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -121,9 +133,7 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = 5, positives: int = 8
     table = np.unpackbits(np.array([np.frombuffer(b, dtype=np.uint8) for b in got["bits"]]), axis=1)[:, : len(place)]
     drop_table(texts)
     toxic_row, any_row = (got[c].to_numpy(dtype=bool) for c in ("toxic_row", "any_row"))
-    # Text of any kind holds the toxic share's words at least that often, which bounds the prior where labelled rows are no fair sample.
-    some = table.any(axis=1)
-    prior = min(prior, max(some[any_row].mean() / some[toxic_row].mean(), 1e-6)) if any_row.any() and some[toxic_row].any() else prior
+    prior = prior_bound(table[toxic_row], table[any_row])
     weights, bias = train_nnpu(table[toxic_row], table[any_row], prior)
     return {w: float(x) for w, x in zip(chosen, weights, strict=True) if x}, bias
 
