@@ -73,7 +73,7 @@ def train_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps
     return theta[:n], float(theta[n])
 
 
-def prior_bound(positive: np.ndarray, unlabelled: np.ndarray, errors: float = 2.0) -> float:
+def prior_bound(positive: np.ndarray, unlabelled: np.ndarray, errors: float = 0.5) -> float:
     """The share of positives among unlabelled rows, at most: the least bound over the columns and over having any of them. Rows are 0/1."""
     if not len(positive) or not len(unlabelled):
         return 0.5
