@@ -480,17 +480,20 @@ def test_risk_is_corrected_by_the_prior():
 
 def test_language_model(spark, odd, empty):
     texts = [(k, prose(60, 7000 + k % 40)) for k in range(120)] + [(500, None), (501, ""), (502, "unseenword " * 30)]
-    got = {r.doc_id: r for r in context_mixing.score(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    df = spark.createDataFrame(texts, "doc_id long, text string")
     train = Counter()
     for i, t in texts:
         if zlib.crc32(str(i).encode()) % 7 != 2:
             train.update(context_mixing.tokens_of(t))
-            train[""] += 1
+            train[b""] += 1
     n, v = sum(train.values()), len(train)
-    for i, t in texts:
-        w = [*context_mixing.tokens_of(t), ""]
-        assert got[i].base_score == pytest.approx(sum(math.log10((train[x] + 1) / (n + v + 1)) for x in w))
-        assert (got[i].n_tokens, got[i].n_known, got[i].train_tokens, got[i].held_out) == (len(w), sum(train[x] > 0 for x in w), n, zlib.crc32(str(i).encode()) % 7 == 2)
+    for head in (1 << 18, 50):
+        got = {r.doc_id: r for r in context_mixing.score(df, head=head).collect()}
+        for i, t in texts:
+            w = [*context_mixing.tokens_of(t), b""]
+            assert got[i].base_score == pytest.approx(sum(math.log10((train[x] + 1) / (n + v + 1)) for x in w))
+            assert (got[i].n_tokens, got[i].n_known, got[i].train_tokens, got[i].held_out) == (len(w), sum(train[x] > 0 for x in w), n, zlib.crc32(str(i).encode()) % 7 == 2)
+            assert got[i].score < 0 and got[i].bits_per_byte == pytest.approx(-got[i].score / math.log10(2) / max(1, len((t or "").encode())))
     assert context_mixing.score(odd).count() == odd.count() and context_mixing.score(empty).count() == 0
 
 
@@ -500,16 +503,103 @@ def test_language_model_beats_the_base_on_held_out_text(spark):
     r = random.Random(4)
     vocabulary = [prose(200, 71).split(), prose(200, 72).split()]
     texts = [(k, " ".join(r.choice(vocabulary[k % 2]) for _ in range(80))) for k in range(400)]
-    got = [x for x in context_mixing.score(spark.createDataFrame(texts, "doc_id long, text string"), kinds=2).collect() if x.held_out]
+    got = [x for x in context_mixing.score(spark.createDataFrame(texts, "doc_id long, text string"), fit_share=2).collect() if x.held_out]
     assert len(got) > 20 and sum(x.score for x in got) > 0.95 * sum(x.base_score for x in got)
 
 
-def test_bit_model_is_a_distribution():
+def test_texts_that_occur_twice_cost_less(spark):
+    texts = [(k, prose(120, 20_000 + k)) for k in range(60)]
+    texts += [(100 + k, texts[k][1]) for k in range(10)]
+    got = {x.doc_id: x.bits_per_byte for x in context_mixing.score(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    twice = {*range(10), *range(100, 110)}
+    known = [k for k in twice if zlib.crc32(str(k % 100 if k >= 100 else k + 100).encode()) % 7 != 2]  # the other copy is learned from
+    assert max(got[k] for k in known) < min(got[k] for k in got if k not in twice)
+
+
+def scalar_coder(coder, docs: list[list[int]], own: list[int]) -> list[list[float]]:
+    """The coder's definition, bit by bit: natural logs of tokens."""
+    mask, big, tree = (1 << 64) - 1, int(context_mixing.MIX), coder.tree
+
+    def mixed(x):
+        x = (x ^ (x >> 31)) * 0xD6E8FEB86659FD93 & mask
+        return x ^ (x >> 29)
+
+    out = []
+    for ids, less in zip(docs, own, strict=True):
+        weights, logs, pending = coder.weights.copy(), [], []
+        for at, token in enumerate(ids):
+            none = 1 << 40
+            last, second = ids[at - 1] if at > 0 else none, ids[at - 2] if at > 1 else none
+            one = ([none] + [x for x in ids[:at] if x < context_mixing.FUNCTION // 4])[-1]
+            kind = int((coder.kinds.middle @ sum((coder.kinds.place[x].astype(float) for x in ids[:at] if x < context_mixing.FUNCTION), np.zeros(context_mixing.KINDS))).argmax())
+            contexts = [mixed((last * big + 1) & mask), mixed(((second * big + last) * big + 2) & mask), mixed((one * big + 3) & mask), mixed((kind * big + 4) & mask)]
+            total = 0.0
+            for k in range(int(tree.depth[token])):
+                node, bit = int(tree.node[tree.first[token] + k]), int(tree.bit[tree.first[token] + k])
+                x, seen = [float(tree.x[node])], []
+                for j, context in enumerate(contexts):
+                    h = (context + (node + 1) * big) * 0xD6E8FEB86659FD93 & mask
+                    slot = ((h ^ (h >> 32)) * big & mask) >> int(coder.shift)
+                    pair = int(coder.tables[j][slot])
+                    zeros, ones = pair >> 8, pair & 255
+                    if less:
+                        zeros, ones = max(zeros - (bit == 0), 0), max(ones - (bit == 1), 0)
+                    p = (ones + 0.05) / (zeros + ones + 0.1)
+                    x.append(math.log(p / (1 - p)))
+                    seen.append(sum(zeros + ones >= b for b in (1, 3, 12)))
+                gates = [seen[0] * 4 + seen[3], seen[0] * 4 + seen[1], *(seen[j] * 4 + seen[0] for j in (1, 2, 3))]
+                gate = gates[1]
+                dot = sum(a * weights[j][g] for j, (a, g) in enumerate(zip(x, gates, strict=True)))
+                place = (min(max(dot, -8.0), 8.0 - 1e-6) + 8.0) * 2
+                low = int(place)
+                refined = coder.map[gate][low] * (1 - place + low) + coder.map[gate][low + 1] * (place - low)
+                final = 0.5 * (dot + refined)
+                total -= math.log1p(math.exp(-final if bit else final))
+                pending.append((gates, x, bit - 1 / (1 + math.exp(-dot))))
+            logs.append(total)
+            if (at + 1) % context_mixing.STEP == 0:
+                for j in range(5):
+                    for gate in {g[j] for g, _, _ in pending}:
+                        mine = [x[j] * e for g, x, e in pending if g[j] == gate]
+                        weights[j][gate] += 0.02 / math.sqrt(len(mine) + 1.0) * sum(mine)
+                pending = []
+        out.append(logs)
+    return out
+
+
+def test_coder_equals_a_bit_by_bit_one():
+    r = np.random.default_rng(2)
+    counts = np.sort(r.integers(1, 2000, 300))[::-1]
+    tree = context_mixing.Tree(counts)
+    assert (2.0 ** -tree.depth).sum() == pytest.approx(1)
+    lengths = np.array([1, 400, 0, 37, 290])
+    ids = r.choice(300, lengths.sum(), p=counts / counts.sum())
+    start = np.repeat(np.cumsum(lengths) - lengths, lengths)
+    has = r.random((50, context_mixing.FUNCTION))
+    kinds = context_mixing.Kinds(has.T @ has / 50, has.mean(axis=0))
+    coder = context_mixing.Coder(tree, kinds, 16)
+    totals = [np.zeros(2 << 16, dtype=np.uint32) for _ in range(context_mixing.HASHED)]
+    coder.count(totals, ids, start)
+    coder.tables = [context_mixing.packed_counts(t) for t in totals]
+    coder.log_probability(ids, lengths, np.ones(len(ids), dtype=np.int64), learn=True)
+    train = np.array([1, 0, 1, 1, 1])
+    got = coder.log_probability(ids, lengths, np.repeat(train, lengths))
+    want = scalar_coder(coder, [x.tolist() for x in np.split(ids, np.cumsum(lengths)[:-1])], train.tolist())
+    assert np.allclose(got, [x for doc in want for x in doc], rtol=1e-4, atol=1e-4)
+
+
+def test_bit_models_are_distributions():
     model = context_mixing.Model([np.zeros((1 << n, 2), dtype=np.float32) for n in context_mixing.SIZES])
     # Words of one byte: all 256 first bytes share the whole; each is then followed by a space or more.
-    firsts = [chr(c) for c in range(33, 127)] + [""]
+    firsts = [bytes([c]) for c in range(33, 127)] + [b""]
     assert np.exp(model.log_probability(firsts)).sum() < 1
-    assert math.exp(context_mixing.copy_log_probability(1, 0)) + math.exp(context_mixing.copy_log_probability(0, 1)) == pytest.approx(1)
+    tree = context_mixing.Tree(np.array([50, 20, 10, 5, 1, 1, 0]))
+    r = np.random.default_rng(1)
+    kinds = context_mixing.Kinds(np.eye(context_mixing.FUNCTION), np.zeros(context_mixing.FUNCTION))
+    coder = context_mixing.Coder(tree, kinds, 16, [r.integers(0, 1 << 16, 1 << 16).astype(np.uint16) for _ in range(context_mixing.HASHED)])
+    ids = np.array([x for k in range(7) for x in (3, 0, k)])
+    ln = coder.log_probability(ids, np.full(7, 3), np.zeros(len(ids), dtype=np.int64))
+    assert np.exp(ln[2::3]).sum() == pytest.approx(1, abs=1e-5)
 
 
 def test_search_is_exact(spark, odd, empty):
