@@ -31,10 +31,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: cuts lineage, outlives executors, is computed once."""
+def written(df: DataFrame, name: str, group_bytes: int = 128 << 20) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: cuts lineage, outlives executors, is computed once.
+
+    Small row groups (``group_bytes``) let many tasks read what few have written.
+    """
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", group_bytes).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
