@@ -20,14 +20,12 @@ columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
-import pickle
 from array import array
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -79,14 +77,6 @@ def shard_of(ids: list[int | None], texts: list[str | None]) -> dict:
     }
 
 
-def put(path: str, value, attempt: int) -> None:
-    files.put(path, [zstandard.ZstdCompressor(level=1).compress(pickle.dumps(value, protocol=5))], attempt)
-
-
-def get(path: str):
-    return pickle.loads(zstandard.ZstdDecompressor().decompress(files.whole(path)))  # noqa: S301 (a file that this operator wrote)
-
-
 def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """All places of the ranges (start, size), one range after the other."""
     ends = np.cumsum(sizes)
@@ -169,7 +159,7 @@ def write_index(docs: DataFrame, folder: str, shard_bytes: int) -> DataFrame:
         def flush() -> pd.DataFrame:
             path = f"{folder}/shard-{context.partitionId():06d}-{k:04d}"
             held = shard_of(ids, texts)
-            put(path, held, context.taskAttemptId())
+            files.put_object(path, held, context.taskAttemptId())
             return pd.DataFrame({"path": [path], "docs": [len(ids)], "words": [int(held["length"].sum())]})
 
         for pdf in batches:
@@ -192,7 +182,7 @@ def document_counts(manifest: DataFrame) -> DataFrame:
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for path in pdf["path"]:
-                held = get(path)
+                held = files.get_object(path)
                 for at in range(0, len(held["words"]), 100_000):
                     yield pd.DataFrame({"word": held["words"][at : at + 100_000], "df": held["df"][at : at + 100_000]})
 
@@ -219,7 +209,7 @@ def write_queries(queries: DataFrame, folder: str, counts: DataFrame, n: int, pe
 
         def flush() -> pd.DataFrame:
             path = f"{folder}/queries-{context.partitionId():06d}-{k:04d}"
-            put(path, held, context.taskAttemptId())
+            files.put_object(path, held, context.taskAttemptId())
             return pd.DataFrame({"path": [path]})
 
         for pdf in batches:
@@ -249,11 +239,11 @@ def run_round(manifest: DataFrame, asked: DataFrame, floors: bool, k: int, mean:
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for shards, at in zip(pdf["shards"], pdf["path"], strict=True):
-                asked_here = get(at)
-                floor = get(at.replace("/queries-", "/floors-")) if floors else {}
+                asked_here = files.get_object(at)
+                floor = files.get_object(at.replace("/queries-", "/floors-")) if floors else {}
                 best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
                 for path in shards:
-                    shard = Shard(get(path), mean, block)
+                    shard = Shard(files.get_object(path), mean, block)
                     for q, words, weights in asked_here:
                         ids, scores = shard.top(words, weights, k, q, floor.get(q, 0.0), visits)
                         if q in best:
@@ -277,7 +267,7 @@ def write_floors(best: DataFrame, asked: DataFrame, k: int) -> None:
     def named(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for path in pdf["path"]:
-                yield pd.DataFrame({"query_id": [x[0] for x in get(path)], "path": path})
+                yield pd.DataFrame({"query_id": [x[0] for x in files.get_object(path)], "path": path})
 
     pairs = asked.mapInPandas(named, "query_id long, path string").join(kth, "query_id", "left")
 
@@ -287,13 +277,13 @@ def write_floors(best: DataFrame, asked: DataFrame, k: int) -> None:
             for path, own in pdf.groupby("path", sort=True):
                 if path != now:
                     if now:
-                        put(now.replace("/queries-", "/floors-"), held, attempt)
+                        files.put_object(now.replace("/queries-", "/floors-"), held, attempt)
                         yield pd.DataFrame({"path": [now]})
                     now, held = path, {}
                 known = own.dropna(subset=["floor"])
                 held |= dict(zip(known["query_id"].astype("int64").tolist(), known["floor"].tolist(), strict=True))
         if now:
-            put(now.replace("/queries-", "/floors-"), held, attempt)
+            files.put_object(now.replace("/queries-", "/floors-"), held, attempt)
             yield pd.DataFrame({"path": [now]})
 
     n = partitions_for(best.sparkSession)

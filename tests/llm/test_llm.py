@@ -589,7 +589,7 @@ def test_coder_equals_a_bit_by_bit_one():
 
 
 def test_bit_models_are_distributions():
-    model = context_mixing.Model([np.zeros((1 << n, 2), dtype=np.float32) for n in context_mixing.SIZES])
+    model = context_mixing.Model([np.zeros(1 << n, dtype=np.uint16) for n in context_mixing.SIZES])
     # Words of one byte: all 256 first bytes share the whole; each is then followed by a space or more.
     firsts = [bytes([c]) for c in range(33, 127)] + [b""]
     assert np.exp(model.log_probability(firsts)).sum() < 1
