@@ -529,10 +529,10 @@ def scalar_coder(coder, docs: list[list[int]], own: list[int]) -> list[list[floa
         weights, logs, pending = coder.weights.copy(), [], []
         for at, token in enumerate(ids):
             none = 1 << 40
-            last, second = ids[at - 1] if at > 0 else none, ids[at - 2] if at > 1 else none
+            last = ids[at - 1] if at > 0 else none
             one = ([none] + [x for x in ids[:at] if x < context_mixing.FUNCTION // 4])[-1]
             kind = int((coder.kinds.middle @ sum((coder.kinds.place[x].astype(float) for x in ids[:at] if x < context_mixing.FUNCTION), np.zeros(context_mixing.KINDS))).argmax())
-            contexts = [mixed((last * big + 1) & mask), mixed(((second * big + last) * big + 2) & mask), mixed((one * big + 3) & mask), mixed((kind * big + 4) & mask)]
+            contexts = [mixed((last * big + 1) & mask), mixed((one * big + 2) & mask), mixed((kind * big + 3) & mask)]
             total = 0.0
             for k in range(int(tree.depth[token])):
                 node, bit = int(tree.node[tree.first[token] + k]), int(tree.bit[tree.first[token] + k])
@@ -547,7 +547,7 @@ def scalar_coder(coder, docs: list[list[int]], own: list[int]) -> list[list[floa
                     p = (ones + 0.05) / (zeros + ones + 0.1)
                     x.append(math.log(p / (1 - p)))
                     seen.append(sum(zeros + ones >= b for b in (1, 3, 12)))
-                gates = [seen[0] * 4 + seen[3], seen[0] * 4 + seen[1], *(seen[j] * 4 + seen[0] for j in (1, 2, 3))]
+                gates = [seen[0] * 4 + seen[2], seen[0] * 4 + seen[1], *(seen[j] * 4 + seen[0] for j in (1, 2))]
                 gate = gates[1]
                 dot = sum(a * weights[j][g] for j, (a, g) in enumerate(zip(x, gates, strict=True)))
                 place = (min(max(dot, -8.0), 8.0 - 1e-6) + 8.0) * 2
@@ -558,7 +558,7 @@ def scalar_coder(coder, docs: list[list[int]], own: list[int]) -> list[list[floa
                 pending.append((gates, x, bit - 1 / (1 + math.exp(-dot))))
             logs.append(total)
             if (at + 1) % context_mixing.STEP == 0:
-                for j in range(5):
+                for j in range(4):
                     for gate in {g[j] for g, _, _ in pending}:
                         mine = [x[j] * e for g, x, e in pending if g[j] == gate]
                         weights[j][gate] += 0.02 / math.sqrt(len(mine) + 1.0) * sum(mine)
