@@ -174,30 +174,32 @@ def json_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "retry_delay_extract",
     """
-    WITH c AS (SELECT conv_id, turn, [200, 429, 429, 401, 503, 418][(conv_id + turn) % 6 + 1] AS code, CASE WHEN (conv_id + turn) % 6 = 1 THEN text || ' "retryDelay": "' || (conv_id % 120) || 's"' WHEN conv_id % 2 = 0 THEN text || ' daily quota' ELSE text END AS body FROM conversations),
-    d AS (SELECT *, try_cast(nullif(regexp_extract(body, 'retryDelay[^0-9]*([0-9]+)', 1), '') AS DOUBLE) AS delay FROM c)
+    WITH c AS (SELECT conv_id, turn, [200, 429, 429, 401, 503, 418][(conv_id + turn) % 6 + 1] AS code, CASE WHEN (conv_id + turn) % 6 = 1 THEN text || ' "RetryDelay" : "' || (conv_id % 120) || 's"' WHEN conv_id % 7 = 3 THEN text || ' retryDelay of about 50' WHEN conv_id % 2 = 0 THEN text || ' daily quota' ELSE text END AS body,
+          CASE conv_id % 5 WHEN 0 THEN '7.5' WHEN 1 THEN 'soon' END AS header, CASE WHEN (conv_id + turn) % 6 = 1 THEN conv_id % 120 END AS named FROM conversations),
+    d AS (SELECT *, CASE conv_id % 5 WHEN 0 THEN 7.5::DOUBLE ELSE named::DOUBLE END AS delay FROM c)
     SELECT conv_id, turn, code, delay, CASE WHEN code = 200 THEN 'ok' WHEN code = 429 AND coalesce(delay > 60, regexp_matches(lower(body), 'quota|per day|free_tier|daily')) THEN 'quota' WHEN code = 429 THEN 'retry' WHEN code IN (400, 401, 403, 404) THEN 'unavailable' WHEN code >= 500 THEN 'retry' ELSE 'unavailable' END AS status FROM d""",
 )
 def retry_delay_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = (F.col("conv_id") + F.col("turn")) % 6
     code = F.element_at(F.array(*[F.lit(x) for x in (200, 429, 429, 401, 503, 418)]), (at + 1).cast("int"))
-    body = F.when(at == 1, F.concat("text", F.lit(' "retryDelay": "'), (F.col("conv_id") % 120).cast("string"), F.lit('s"'))).when(F.col("conv_id") % 2 == 0, F.concat("text", F.lit(" daily quota"))).otherwise(F.col("text"))
+    body = F.when(at == 1, F.concat("text", F.lit(' "RetryDelay" : "'), (F.col("conv_id") % 120).cast("string"), F.lit('s"'))).when(F.col("conv_id") % 7 == 3, F.concat("text", F.lit(" retryDelay of about 50"))).when(F.col("conv_id") % 2 == 0, F.concat("text", F.lit(" daily quota"))).otherwise(F.col("text"))
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", code.alias("code"), body.alias("body"))
-    rows = rows.withColumn("delay", tx.retry_delay(F.col("body")))
+    header = F.when(F.col("conv_id") % 5 == 0, "7.5").when(F.col("conv_id") % 5 == 1, "soon")
+    rows = rows.withColumn("delay", tx.retry_delay(F.col("body"), header))
     return rows.select("conv_id", "turn", "code", "delay", tx.http_status(F.col("code"), F.col("delay"), F.col("body")).alias("status"))
 
 
 @query(
     "secret_scrub",
     """
-    WITH t AS (SELECT doc_id, text || CASE doc_id % 7 WHEN 0 THEN ' hf_' || repeat('a1', 15) WHEN 1 THEN ' sk-' || repeat('Zz9_', 8) WHEN 2 THEN ' AIza' || repeat('Q-', 18) ELSE '' END AS text FROM documents),
-    s AS (SELECT doc_id, text, regexp_replace(regexp_replace(regexp_replace(text, 'hf_[A-Za-z0-9]{20,}', '[REDACTED_API_KEY]', 'g'), 'sk-[A-Za-z0-9_\\-]{20,}', '[REDACTED_API_KEY]', 'g'), 'AIza[A-Za-z0-9_\\-]{30,}', '[REDACTED_API_KEY]', 'g') AS clean FROM t)
+    WITH t AS (SELECT doc_id, text || CASE doc_id % 7 WHEN 0 THEN ' hf_' || repeat('a1', 15) WHEN 1 THEN ' sk-' || repeat('Zz9a', 8) WHEN 2 THEN ' AIza' || repeat('Q-', 18) ELSE '' END AS text FROM documents),
+    s AS (SELECT doc_id, text, regexp_replace(regexp_replace(regexp_replace(text, 'hf_[A-Za-z0-9]{20,}', '[REDACTED_API_KEY]', 'g'), 'sk-[A-Za-z0-9]{20,}', '[REDACTED_API_KEY]', 'g'), 'AIza[0-9A-Za-z_-]{30,}', '[REDACTED_API_KEY]', 'g') AS clean FROM t)
     SELECT doc_id, sha256(clean) AS clean_sha256, clean <> text AS had_secret FROM s""",
 )
 def secret_scrub(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = F.col("doc_id") % 7
     # Made-up keys of each format, so that the patterns have something to find.
-    key = F.when(at == 0, F.concat(F.lit(" hf_"), F.expr("repeat('a1', 15)"))).when(at == 1, F.concat(F.lit(" sk-"), F.expr("repeat('Zz9_', 8)"))).when(at == 2, F.concat(F.lit(" AIza"), F.expr("repeat('Q-', 18)"))).otherwise("")
+    key = F.when(at == 0, F.concat(F.lit(" hf_"), F.expr("repeat('a1', 15)"))).when(at == 1, F.concat(F.lit(" sk-"), F.expr("repeat('Zz9a', 8)"))).when(at == 2, F.concat(F.lit(" AIza"), F.expr("repeat('Q-', 18)"))).otherwise("")
     rows = table(spark, sf_dir, "documents").select("doc_id", F.concat("text", key).alias("text"))
     rows = rows.withColumn("clean", tx.scrubbed(F.col("text")))
     return rows.select("doc_id", F.sha2(F.col("clean").cast("binary"), 256).alias("clean_sha256"), (F.col("clean") != F.col("text")).alias("had_secret"))

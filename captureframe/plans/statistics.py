@@ -135,11 +135,11 @@ def cross_cluster_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "room_embedding",
     """
-    WITH v AS (SELECT label, unnest(embedding)::DOUBLE AS v, unnest(range(64)) AS k FROM embeddings), m AS (SELECT label, k, avg(v) AS v FROM v GROUP BY ALL)
+    WITH w AS (SELECT vec_id, label, unnest(embedding)::DOUBLE * (1 + vec_id % 3) AS v, unnest(range(64)) AS k FROM embeddings), v AS (SELECT label, k, v / sqrt(sum(v * v) OVER (PARTITION BY vec_id)) AS v FROM w), m AS (SELECT label, k, avg(v) AS v FROM v GROUP BY ALL)
     SELECT label, cast(k AS INTEGER) AS k, round(v / sqrt(sum(v * v) OVER (PARTITION BY label)), 4) AS v FROM m""",
 )
 def room_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = graphs.mean_embedding(table(spark, sf_dir, "embeddings").select("label", F.col("embedding").alias("vec")), ["label"])
+    out = graphs.mean_embedding(table(spark, sf_dir, "embeddings").select("label", F.transform("embedding", lambda x: x.cast("double") * (1 + F.col("vec_id") % 3)).alias("vec")), ["label"])
     return out.select("label", F.posexplode("vec").alias("k", "v")).select("label", "k", F.round("v", 4).alias("v"))
 
 

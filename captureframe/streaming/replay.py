@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from captureframe.operators.control import Bucket
+from captureframe.operators.lineage import shared_folder
 
 EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
@@ -27,7 +27,7 @@ def frames_stream(spark: SparkSession, path: str) -> DataFrame:
 def run_to_end(stream: DataFrame, mode: str) -> DataFrame:
     """Drive a bounded stream to its end; the table that its sink holds."""
     spark, name = stream.sparkSession, f"replay_{uuid.uuid4().hex}"
-    at = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()
+    at = shared_folder(spark)
     running = stream.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", f"{at}/{name}").trigger(availableNow=True).start()
     running.awaitTermination()
     return spark.table(name)
