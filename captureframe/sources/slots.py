@@ -34,7 +34,8 @@ def filled(inputs: DataFrame, slot: str, call: Callable[[pd.DataFrame], pd.DataF
         for batch in batches:
             out = call(batch)
             if len(out):
-                yield out.reindex(columns=names)
+                whole = out.reindex(columns=names).astype(object)
+                yield whole.where(whole.notna(), None)
 
     return inputs.mapInPandas(rows, SLOTS[slot])
 
