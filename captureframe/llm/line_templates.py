@@ -18,7 +18,7 @@ before every shuffle. Joins by template have a key for each common line; adaptiv
 
 Defined results: null text stays null, with no lines; empty and white-space lines have no tokens and are kept; a document of
 which nothing would be left stays as it is (that is a copied document, not one with lines from elsewhere); a very long text is many lines or one
-long line, of any length; ties go to the greater text; repeated rows each get the same result; columns of the input all stay, whatever their
+long line, of any length; ties of templates go to the greater hash; repeated rows each get the same result; columns of the input all stay, whatever their
 names, and ``n_lines`` and ``n_dropped`` are added (columns of these names are replaced where the caller leaves ``names`` as it is); an empty table gives no rows.
 """
 
@@ -62,33 +62,34 @@ def matching(one: str, other: str) -> Column:
 
 
 def grouped(kinds: DataFrame, similar: float, max_rounds: int = 60) -> DataFrame:
-    """(leaf, n, template, group): group is the stem that a masked line has joined, or the line itself.
+    """(leaf, th, gid): th is a masked line's hash, gid that of the stem that it has joined, or its own.
 
     Two lines that are equal in ``similar`` of their places are equal in one whole part of ``n`` less the least matching places plus one
-    parts, so a line is filed under its parts. A line that leads all its parts (by times, then text) is a stem; lines similar to a stem of theirs
-    join the greatest such, both go, and the rest is led anew until no two lines share a part.
+    parts, so a line is filed under its parts. A line that leads all its parts (by times, then hash) is a stem; lines similar to a stem of theirs
+    join the greatest such, both go, and the rest is led anew until no two lines share a part. Rounds move hashes; texts meet only where a
+    line is held against a stem.
     """
     parts = F.least(F.col("n"), F.col("n") - F.ceil(F.lit(similar) * F.col("n")).cast("int") + 1)
     tokens = F.split("template", " ")
     cut = lambda k: F.floor(k * F.col("n") / parts).cast("int")
-    part = F.transform(F.sequence(F.lit(0), parts - 1), lambda k: F.xxhash64("leaf", k, F.array_join(F.slice(tokens, cut(k) + 1, cut(k + 1) - cut(k)), " ")))
-    rank = F.struct("times", "template")
-    left, done = kinds.select("leaf", "n", "template", "times"), None
+    pieces = F.transform(F.sequence(F.lit(0), parts - 1), lambda k: F.xxhash64("leaf", k, F.array_join(F.slice(tokens, cut(k) + 1, cut(k + 1) - cut(k)), " ")))
+    texts = written(kinds.withColumn("th", F.xxhash64("template")), "kinds")
+    left, done = written(texts.select("leaf", "n", "th", "times", pieces.alias("pieces")), "pieces"), None
+    texts = texts.select("leaf", "th", "template")
     for _ in range(max_rounds):
-        filed = left.withColumn("part", F.explode(part))
-        seen = filed.join(filed.groupBy("part").agg(F.max(rank).alias("top")), "part").withColumn("behind", F.when(F.col("top") != rank, F.col("top")))
+        filed = left.select("leaf", "n", "th", F.struct("times", "th").alias("rank"), F.explode("pieces").alias("part"))
+        seen = filed.join(filed.groupBy("part").agg(F.max("rank").alias("top")), "part").withColumn("behind", F.when(F.col("top") != F.col("rank"), F.col("top")))
         # A line that is behind in none of its parts is a stem, or alone.
-        state = written(seen.groupBy("leaf", "n", "template", "times").agg(F.collect_set("behind").alias("tops")), "led")
-        stems = state.where("size(tops) = 0").select("leaf", "n", "template", F.col("template").alias("group"))
-        rest = state.where("size(tops) > 0")
-        near = rest.select("leaf", "n", "template", F.explode("tops").alias("top")).withColumn("group", F.col("top.template")).where(matching("template", "group") >= F.lit(similar) * F.col("n"))
-        joined = near.join(stems.select("leaf", "group"), ["leaf", "group"], "left_semi").groupBy("leaf", "n", "template").agg(F.max("top").alias("top"))
-        joined = written(joined.select("leaf", "n", "template", F.col("top.template").alias("group")), "joined")
-        settled = stems.unionByName(joined)
+        state = written(seen.groupBy("leaf", "n", "th").agg(F.collect_set("behind").alias("tops")), "led")
+        stems = state.where("size(tops) = 0").select("leaf", "th", F.col("th").alias("stem"))
+        pairs = state.where("size(tops) > 0").select("leaf", "n", "th", F.explode("tops").alias("top")).withColumn("stem", F.col("top.th")).join(stems.select("leaf", "stem"), ["leaf", "stem"], "left_semi")
+        near = pairs.join(texts, ["leaf", "th"]).join(texts.select("leaf", F.col("th").alias("stem"), F.col("template").alias("other")), ["leaf", "stem"]).where(matching("template", "other") >= F.lit(similar) * F.col("n"))
+        joined = near.groupBy("leaf", "th").agg(F.max("top").alias("top")).select("leaf", "th", F.col("top.th").alias("stem"))
+        settled = written(stems.unionByName(joined), "settled")
         done = settled if done is None else done.unionByName(settled)
-        left = rest.join(joined, ["leaf", "n", "template"], "left_anti").select("leaf", "n", "template", "times")
+        left = written(left.join(settled.select("leaf", "th"), ["leaf", "th"], "left_anti"), "pieces")
         if left.isEmpty():
-            return written(done, "stems")
+            return done.select("leaf", "th", F.xxhash64("leaf", "stem").alias("gid"))
     raise RuntimeError("line templates did not settle")
 
 
@@ -102,7 +103,7 @@ def candidates(members: DataFrame, rules: tuple[tuple[int, int], ...]) -> DataFr
 def recurring(lines: DataFrame, totals: DataFrame, similar: float, rules: tuple[tuple[int, int], ...], copied: float) -> DataFrame:
     """(key, text_key, line_no): the lines that go. ``lines`` are those of full leaves, ``totals`` the tokens of each document."""
     kinds = lines.groupBy("leaf", "n", "template").agg(F.count("*").alias("times"))
-    named = grouped(written(kinds, "kinds"), similar).select("leaf", F.xxhash64("template").alias("th"), F.xxhash64("leaf", "group").alias("gid"))
+    named = grouped(kinds, similar)
     members = written(lines.select("key", "text_key", "line_no", "n", "leaf", "th").join(named, ["leaf", "th"]).drop("leaf"), "members")
     many = written(candidates(members, rules), "candidates")
     ids = F.array(F.struct(F.lit(0).alias("by"), F.col("gid").alias("id")), F.struct(F.lit(1).alias("by"), F.col("th").alias("id")))

@@ -347,6 +347,8 @@ def brute_lines(docs: list[tuple[int, str]]) -> dict[int, list[int]]:
         texts.setdefault(leaf(t), set()).add(i)
     kept = {at: t for at, t in lines.items() if len(texts[leaf(t)]) >= need(len(t.split()))}
     times, stem = Counter(kept.values()), {}
+    signed = lambda t: (x := xxhash.xxh64_intdigest(t.encode(), 42)) - (x >> 63 << 64)
+    rank = lambda t: (times[t], signed(t), t)
     for own in {leaf(t) for t in times}:
         left = {t for t in times if leaf(t) == own}
         n = own[0]
@@ -357,14 +359,14 @@ def brute_lines(docs: list[tuple[int, str]]) -> dict[int, list[int]]:
             for t in left:
                 for k in range(parts):
                     at = (k, tuple(t.split()[cut[k] : cut[k + 1]]))
-                    tops[at] = max(tops.get(at, (0, "")), (times[t], t))
-            over = {t: {tops[k, tuple(t.split()[cut[k] : cut[k + 1]])] for k in range(parts)} - {(times[t], t)} for t in left}
+                    tops[at] = max(tops.get(at, rank(t)), rank(t))
+            over = {t: {tops[k, tuple(t.split()[cut[k] : cut[k + 1]])] for k in range(parts)} - {rank(t)} for t in left}
             stems = {t for t in left if not over[t]}
             stem |= {t: t for t in stems}
             for t in left - stems:
-                near = [x for x in over[t] if x[1] in stems and sum(a == b for a, b in zip(t.split(), x[1].split(), strict=True)) >= 0.8 * n]
+                near = [x for x in over[t] if x[2] in stems and sum(a == b for a, b in zip(t.split(), x[2].split(), strict=True)) >= 0.8 * n]
                 if near:
-                    stem[t] = max(near)[1]
+                    stem[t] = max(near)[2]
             left -= stem.keys()
     named = {at: ((0, stem[t], len(t.split())), (1, t, len(t.split()))) for at, t in kept.items()}
     held = {}
