@@ -662,3 +662,26 @@ def test_pipeline_on_planted_cases(spark, tmp_path):
     assert set(seen["line_dedup"]) - set(seen["near_dedup"]) == {3000, 3001}
     assert set(seen["near_dedup"]) - set(seen["decontamination"]) == {4000}
     assert set(seen["packing"]) == set(seen["decontamination"])
+
+
+def test_pipeline_stages_on_odd_and_empty_tables(spark, odd, tmp_path):
+    """Every stage keeps the columns of its input, whatever their names, and crashes on nothing."""
+    import corpus_pipeline
+
+    spark.createDataFrame([(1, 1, 1), (6, None, 1), (8, 0, None), (None, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, prose(30, 32)), (2, None), (None, "")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for docs in (odd, odd.where("false")):
+        now = docs
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            now = corpus_pipeline.written(stage(spark, now, str(tmp_path)), "odd")
+            assert now.columns == docs.columns
+        packed = corpus_pipeline.STAGES[-1][1](spark, now, str(tmp_path))
+        assert packed.select("doc_id").distinct().count() == now.select("doc_id").distinct().count()
+
+
+def test_toxicity_on_odd_rows(spark, odd, empty):
+    marks = spark.createDataFrame([(k, 1, 1) for k in (1, 2, 4, 7)], "doc_id long, quality int, toxic int")
+    got = toxicity.classify(odd, marks).collect()
+    assert len(got) == odd.count() and all(0 <= x.score <= 1 and x.predicted == int(x.score >= 0.5) for x in got)
+    assert toxicity.classify(empty, marks).count() == 0
+    assert toxicity.scored(odd, ({"one": 9.0}, -2.0), "s2").columns == [*odd.columns, "s2"]
