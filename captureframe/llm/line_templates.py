@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from captureframe.llm.shared import drop_table, quoted, unused, written
+from captureframe.llm.shared import bounded, drop_table, quoted, unused, written
 
 FIELD = "<*>"
 MISSING_ID = -(1 << 63)
@@ -40,13 +40,15 @@ def masked(line: Column) -> Column:
     """A lower-case line's tokens, fields masked, joined by one space."""
     spaced = F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))
     # Most lines have neither fields nor odd spaces; one look tells.
-    return F.when(line.rlike(r"[0-9@\x09-\x0D]|  |://"), F.regexp_replace(spaced, r"[^ ]*(?:[0-9@]|://)[^ ]*", FIELD)).otherwise(F.trim(line))
+    odd = F.contains(line, F.lit("  ")) | F.contains(line, F.lit("://")) | line.rlike(r"[0-9@\x09-\x0D]")
+    return F.when(odd, F.regexp_replace(spaced, r"[^ ]*(?:[0-9@]|://)[^ ]*", FIELD)).otherwise(F.trim(line))
 
 
 def exploded(docs: DataFrame, lead: int) -> DataFrame:
     """(key, text_key, line_no, n, leaf, th, template): the lines that have tokens; leaf and th are hashes."""
     lines = docs.select("key", "text_key", F.posexplode(F.split(F.lower("text"), "\n")).alias("line_no", "line"))
-    own = lines.select("key", "text_key", "line_no", masked(F.col("line")).alias("template")).where("template <> ''")
+    # The filter looks at the line, so that masks are made once.
+    own = lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select("key", "text_key", "line_no", masked(F.col("line")).alias("template"))
     n = F.length("template") - F.length(F.replace("template", F.lit(" "), F.lit(""))) + 1
     return own.select("key", "text_key", "line_no", n.alias("n"), F.xxhash64(n, F.substring_index("template", " ", lead)).alias("leaf"), F.xxhash64("template").alias("th"), "template")
 
@@ -57,8 +59,8 @@ def needed(n: Column, rules: tuple[tuple[int, int], ...]) -> Column:
 
 
 def matching(one: str, other: str) -> Column:
-    """The number of places in which two masked lines are equal."""
-    return F.aggregate(F.zip_with(F.split(one, " "), F.split(other, " "), lambda a, b: F.when(a == b, 1).otherwise(0)), F.lit(0), lambda acc, x: acc + x)
+    """The number of places in which two masked lines' tokens are equal."""
+    return F.aggregate(F.zip_with(one, other, lambda a, b: F.when(a == b, 1).otherwise(0)), F.lit(0), lambda acc, x: acc + x)
 
 
 def grouped(kinds: DataFrame, similar: float, max_rounds: int = 60) -> DataFrame:
@@ -67,23 +69,24 @@ def grouped(kinds: DataFrame, similar: float, max_rounds: int = 60) -> DataFrame
     Two lines that are equal in ``similar`` of their places are equal in one whole part of ``n`` less the least matching places plus one
     parts, so a line is filed under its parts. A line that leads all its parts (by times, then hash) is a stem; lines similar to a stem of theirs
     join the greatest such, both go, and the rest is led anew until no two lines share a part. Rounds move hashes; texts meet only where a
-    line is held against a stem.
+    line is held against a stem, and are read of those lines alone that are still left.
     """
     parts = F.least(F.col("n"), F.col("n") - F.ceil(F.lit(similar) * F.col("n")).cast("int") + 1)
-    tokens = F.split("template", " ")
     cut = lambda k: F.floor(k * F.col("n") / parts).cast("int")
-    pieces = F.transform(F.sequence(F.lit(0), parts - 1), lambda k: F.xxhash64("leaf", k, F.array_join(F.slice(tokens, cut(k) + 1, cut(k + 1) - cut(k)), " ")))
-    texts = written(kinds.withColumn("th", F.xxhash64("template")), "kinds")
-    left, done = written(texts.select("leaf", "n", "th", "times", pieces.alias("pieces")), "pieces"), None
-    texts = texts.select("leaf", "th", "template")
+    pieces = F.transform(F.sequence(F.lit(0), parts - 1), lambda k: F.xxhash64("leaf", k, F.slice("tokens", cut(k) + 1, cut(k + 1) - cut(k))))
+    # Tokens are written first: an expression of a column that is not there yet would be made again for each part.
+    texts = written(kinds.select("leaf", "n", "times", F.xxhash64("template").alias("th"), F.split("template", " ").alias("tokens")), "kinds")
+    left, done = written(texts.withColumn("pieces", pieces), "pieces"), None
+    drop_table(texts)
     for _ in range(max_rounds):
+        texts = left.select("leaf", "th", "tokens")
         filed = left.select("leaf", "n", "th", F.struct("times", "th").alias("rank"), F.explode("pieces").alias("part"))
         seen = filed.join(filed.groupBy("part").agg(F.max("rank").alias("top")), "part").withColumn("behind", F.when(F.col("top") != F.col("rank"), F.col("top")))
         # A line that is behind in none of its parts is a stem, or alone.
         state = written(seen.groupBy("leaf", "n", "th").agg(F.collect_set("behind").alias("tops")), "led")
         stems = state.where("size(tops) = 0").select("leaf", "th", F.col("th").alias("stem"))
         pairs = state.where("size(tops) > 0").select("leaf", "n", "th", F.explode("tops").alias("top")).withColumn("stem", F.col("top.th")).join(stems.select("leaf", "stem"), ["leaf", "stem"], "left_semi")
-        near = pairs.join(texts, ["leaf", "th"]).join(texts.select("leaf", F.col("th").alias("stem"), F.col("template").alias("other")), ["leaf", "stem"]).where(matching("template", "other") >= F.lit(similar) * F.col("n"))
+        near = pairs.join(texts, ["leaf", "th"]).join(texts.select("leaf", F.col("th").alias("stem"), F.col("tokens").alias("other")), ["leaf", "stem"]).where(matching("tokens", "other") >= F.lit(similar) * F.col("n"))
         joined = near.groupBy("leaf", "th").agg(F.max("top").alias("top")).select("leaf", "th", F.col("top.th").alias("stem"))
         settled = written(stems.unionByName(joined), "settled")
         done = settled if done is None else done.unionByName(settled)
@@ -110,9 +113,11 @@ def recurring(lines: DataFrame, totals: DataFrame, similar: float, rules: tuple[
     # One row for each line and each of its two names that is a candidate.
     held = members.withColumn("x", F.explode(ids)).select("key", "text_key", "line_no", "n", "gid", "x.by", "x.id").join(many, ["by", "id", "n"], "left_semi")
     held = written(held, "held")
-    once = held.groupBy("key", "text_key", "line_no", "n", "gid").agg(F.lit(1).alias("one"))
+    # Rows that repeat under one doc_id and text count in a document's part of candidate lines as often as in its total.
+    copies = F.greatest(F.sum(1 - F.col("by")), F.sum("by"))
+    once = held.groupBy("key", "text_key", "line_no", "n", "gid").agg(copies.alias("copies"))
     hashes = [F.min(F.xxhash64("gid", F.lit(k))).alias(f"h{k}") for k in range(HASHES)]
-    part = once.groupBy("key", "text_key").agg(F.sum("n").alias("tokens"), *hashes).join(totals, ["key", "text_key"])
+    part = once.groupBy("key", "text_key").agg(F.sum(F.col("n") * F.col("copies")).alias("tokens"), *hashes).join(totals, ["key", "text_key"])
     copy = F.col("tokens") >= F.lit(copied) * F.col("total")
     signed = part.select("key", "text_key", F.array(*[F.when(copy, F.col(f"h{k}")).otherwise(F.xxhash64("text_key", F.lit(k))) for k in range(HASHES)]).alias("sigs"))
     seen = held.join(signed, ["key", "text_key"]).select("by", "id", "n", F.posexplode("sigs").alias("k", "sig")).distinct()
@@ -130,9 +135,9 @@ def drop_recurring(docs: DataFrame, lead: int = 3, similar: float = 0.8, rules:
     lines = written(exploded(keyed.select(F.col(key).alias("key"), F.col(text_key).alias("text_key"), text.alias("text")).where("text IS NOT NULL"), lead), "lines")
     pairs = lines.where(F.col("n") >= min(x for x, _ in rules)).select("leaf", "n", "text_key").distinct()
     full = pairs.groupBy("leaf", "n").agg(F.count("*").alias("texts")).where(F.col("texts") >= needed(F.col("n"), rules)).select("leaf")
+    full = bounded(written(full.distinct(), "full"), F.lit(16))
     kept = written(lines.join(full, "leaf", "left_semi"), "kept")
-    # Rows that repeat under one doc_id and text share their lines; these count once.
-    totals = lines.select("key", "text_key", "line_no", "n").distinct().groupBy("key", "text_key").agg(F.sum("n").alias("total"))
+    totals = lines.groupBy("key", "text_key").agg(F.sum("n").alias("total"))
     out = recurring(kept, totals, similar, rules, copied)
     dropped = written(out.groupBy("key", "text_key").agg(F.collect_set("line_no").alias(gone)).withColumnsRenamed({"key": key, "text_key": text_key}), "gone")
     drop_table(lines)
