@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from captureframe.llm.shared import written
-from captureframe.llm.tokens import encoder, tokenizer_path
+from captureframe.llm.tokens import encoder, frugal, tokenizer_path
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -45,7 +45,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> Da
                     out.append((None if pd.isna(i) else int(i), k, at // 4, len(own) // 4, zlib.crc32(own)))
             yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"]).astype({"doc_id": "Int64"})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(rows, PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(frugal(rows, tables=True), PIECES)
 
 
 def sweep(counts: dict[int, int], capacity: int) -> np.ndarray:
@@ -115,7 +115,7 @@ def pack(pieces: DataFrame, capacity: int, per_salt: int = 50_000) -> DataFrame:
             yield pdf.drop(columns="rank").assign(sequence_id=table[at, 2] + rank - table[at, 1], offset=table[at, 3])
 
     kept = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank")
-    return kept.mapInPandas(rows, PIECES + ", sequence_id long, offset long")
+    return kept.mapInPandas(frugal(rows, tables=True), PIECES + ", sequence_id long, offset long")
 
 
 def best_fit(docs: DataFrame, capacity: int = 4096, end_id: int = 1, tokenizer: str | None = None) -> DataFrame:

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from captureframe.llm.shared import columns_of, drop_table, unused, written
+from captureframe.llm.tokens import frugal
 
 SEED = 42
 LEAF, FANOUT = 16, 8
@@ -356,7 +357,7 @@ def links_left(texts: DataFrame, sections: DataFrame, roots: DataFrame, shingle:
             yield pd.DataFrame({"node": pdf["node"], "hashes": [np.unique(shingle_hashes(t, shingle)).astype(np.int64) for t in pdf["text"]]})
 
     needed = texts.join(dealt.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
-    shingles = written(needed.mapInPandas(hashed, "node long, hashes array<long>"), "shingles")
+    shingles = written(needed.mapInPandas(frugal(hashed), "node long, hashes array<long>"), "shingles")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
@@ -375,7 +376,7 @@ def links_left(texts: DataFrame, sections: DataFrame, roots: DataFrame, shingle:
                 yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
     n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return dealt.join(shingles, "node").repartition(n, "block").sortWithinPartitions("block").mapInPandas(compare, "a long, b long")
+    return dealt.join(shingles, "node").repartition(n, "block").sortWithinPartitions("block").mapInPandas(frugal(compare), "a long, b long")
 
 
 def one_per_group(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -401,7 +402,7 @@ def one_per_group(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) ->
             got = [np.array(section_prints(t, shingle), dtype=np.uint64).astype(np.int64) for t in pdf["text"]]
             yield pd.DataFrame({"node": np.repeat(pdf["node"].to_numpy(), [len(x) for x in got]), "print": np.concatenate(got) if got else []})
 
-    sections = written(texts.select("node", "text").mapInPandas(prints, "node long, print long").distinct(), "sections")
+    sections = written(texts.select("node", "text").mapInPandas(frugal(prints), "node long, print long").distinct(), "sections")
     least = sections.groupBy("print").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
     pairs = written(sections.join(least, "print").where("a < node").select("a", F.col("node").alias("b")).distinct(), "pairs")
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
@@ -413,7 +414,7 @@ def one_per_group(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) ->
             near = [similarity_of(x, y, shingle) >= similarity for x, y in zip(pdf["text_a"], pdf["text_b"], strict=True)]
             yield pdf.loc[near, ["a", "b"]]
 
-    found = written(both.mapInPandas(compare, "a long, b long"), "links")
+    found = written(both.mapInPandas(frugal(compare), "a long, b long"), "links")
     roots = connected(found)
     roots = connected(found.union(links_left(texts, sections, roots, shingle, similarity)))
     grouped = first.select("key", "first").withColumn("node", number).join(roots, "node", "left")

@@ -10,10 +10,14 @@ a word costs one pass of the merge table however it is written.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 import struct
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 
 #: Latin letters that are one code point before and after normalisation, then ASCII marks without the apostrophe.
 _PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([!-&(-/:-@\[-`{-~]*)")
@@ -101,6 +105,40 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def trim() -> None:
+    """Give memory that a worker process has freed back to the system; allocators would keep it for as long as the worker is reused."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library has no such call
+
+
+def forget() -> None:
+    """Drop the token tables of this process. (A function of the module, so that it reaches the module's own tables in a worker.)"""
+    if _ENCODERS:
+        _ENCODERS.clear()
+        gc.collect()
+        trim()
+
+
+def frugal(rows: Callable[[Iterator], Iterator], tables: bool = False) -> Callable[[Iterator], Iterator]:
+    """``rows`` (a function of batches), leaving nothing in its worker process that the next task would not use.
+
+    Only work with token tables (``tables``) keeps those of tasks before; any other drops them as it begins.
+    """
+
+    def of(batches: Iterator) -> Iterator:
+        if not tables:
+            forget()
+        try:
+            yield from rows(batches)
+        finally:
+            trim()
+
+    return of
+
+
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 

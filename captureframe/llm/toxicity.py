@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from captureframe.llm.shared import drop_table, written
+from captureframe.llm.tokens import frugal
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -112,7 +113,7 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = 5, positives: int = 8
             yield pd.DataFrame({"word": pd.Series(some, dtype=object), "p": np.array([toxic[w] for w in some], dtype=np.int64), "u": np.array([other[w] for w in some], dtype=np.int64)})
 
     totals = texts.agg(F.count_if("toxic_row"), F.count_if("any_row")).first()
-    hits = texts.mapInPandas(count, "word string, p long, u long").groupBy("word").agg(F.sum("p").alias("p"), F.sum("u").alias("u")).where(F.col("p") >= max(least, least_share * totals[0]))
+    hits = texts.mapInPandas(frugal(count), "word string, p long, u long").groupBy("word").agg(F.sum("p").alias("p"), F.sum("u").alias("u")).where(F.col("p") >= max(least, least_share * totals[0]))
     expected = (F.col("u") + 1) / (totals[1] + 1) * totals[0]
     evidence = F.col("p") * F.log(F.col("p") / expected) - (F.col("p") - expected)  # how much likelier than by chance
     ranked = hits.where(F.col("p") > expected).select("word", evidence.alias("evidence")).where(F.col("evidence") > surprise)
@@ -129,7 +130,7 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = 5, positives: int = 8
                 rows[k, [place[w] for w in place.keys() & words_in(text)]] = True
             yield pd.DataFrame({"bits": [x.tobytes() for x in np.packbits(rows, axis=1)], "toxic_row": pdf["toxic_row"], "any_row": pdf["any_row"]})
 
-    got = texts.mapInPandas(bits, "bits binary, toxic_row boolean, any_row boolean").toPandas()  # bounded by the samples
+    got = texts.mapInPandas(frugal(bits), "bits binary, toxic_row boolean, any_row boolean").toPandas()  # bounded by the samples
     table = np.unpackbits(np.array([np.frombuffer(b, dtype=np.uint8) for b in got["bits"]]), axis=1)[:, : len(place)]
     drop_table(texts)
     toxic_row, any_row = (got[c].to_numpy(dtype=bool) for c in ("toxic_row", "any_row"))
@@ -142,10 +143,14 @@ def scored(docs: DataFrame, model: tuple[dict[str, float], float], column: str =
     """``docs`` with the probability of being toxic; all columns stay."""
     weights, bias = model
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
+    def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known = weights.keys()
-        return pd.Series([1 / (1 + np.exp(-(bias + sum(weights[w] for w in sorted(known & words_in(t)))))) for t in texts], dtype="float64")
+        for texts in batches:
+            yield pd.Series([1 / (1 + np.exp(-(bias + sum(weights[w] for w in sorted(known & words_in(t)))))) for t in texts], dtype="float64")
+
+    @F.pandas_udf("double")
+    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        yield from frugal(scores)(texts)
 
     return docs.withColumn(column, score(F.col("text").cast("string")))
 
