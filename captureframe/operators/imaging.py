@@ -145,7 +145,7 @@ def frame_times(files: DataFrame, fps: float) -> DataFrame:
     return files.withColumn("t", F.coalesce(number / fps, F.lit(0.0)))
 
 
-def with_rasters(frames: DataFrame, depth: DataFrame, confidence: DataFrame) -> DataFrame:
-    """``frames`` (frame) with the depth file of their number, and its confidence; a frame without one has the sure value 2."""
-    named = frames.withColumn("file", F.format_string("%06d.png", "frame"))
+def with_rasters(frames: DataFrame, depth: DataFrame, confidence: DataFrame, name: Column | None = None) -> DataFrame:
+    """``frames`` (frame) with the depth file of their number (``name``: six digits or more), and its confidence; a frame without one has the sure value 2."""
+    named = frames.withColumn("file", F.format_string("%06d.png", "frame") if name is None else name)
     return named.join(depth, "file").join(confidence, "file", "left").withColumn("confidence", F.coalesce("confidence", F.lit(2)))

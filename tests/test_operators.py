@@ -249,3 +249,8 @@ def test_findings_keep_whole_ids(spark, tmp_path):
 def test_zero_is_an_extent_and_no_k_keeps_the_value(spark, tmp_path):
     zero = "SELECT * REPLACE (CASE WHEN event_id % 7 = 0 THEN 0::DOUBLE ELSE value END AS value, CASE WHEN event_id % 11 = 0 THEN '{{}}' ELSE props END AS props, event_id - 500 AS event_id) FROM '{src}'"
     assert differing(spark, linked_tables(tmp_path, events=zero), "damage_normalise") == ({}, {})
+
+
+def test_raster_names_of_seven_digits_follow_the_sql(spark, tmp_path):
+    moved = "SELECT * REPLACE (doc_id + 299950 AS doc_id) FROM '{src}'"
+    assert differing(spark, linked_tables(tmp_path, events=LATE_EVENTS, documents=moved, labels=moved), "frame_rasters") == ({}, {})
