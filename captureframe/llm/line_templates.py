@@ -24,6 +24,8 @@ names, and ``n_lines`` and ``n_dropped`` are added (columns of these names are r
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +36,8 @@ MISSING_ID = -(1 << 63)
 #: (tokens, documents): a line of so many tokens or more recurs in so many documents.
 NEEDED = ((50, 2), (8, 3), (3, 10))
 HASHES = 3
+#: Lines that are left are led in the driver's memory once they have so many tokens in all (16 MB of hashes); cells of a comparison there.
+HERE, CELLS = 2_000_000, 4_000_000
 
 
 def masked(line: Column) -> Column:
@@ -63,13 +67,53 @@ def matching(one: str, other: str) -> Column:
     return F.aggregate(F.zip_with(one, other, lambda a, b: F.when(a == b, 1).otherwise(0)), F.lit(0), lambda acc, x: acc + x)
 
 
-def grouped(kinds: DataFrame, similar: float, max_rounds: int = 60) -> DataFrame:
+def led(n: int, tokens: np.ndarray, pieces: np.ndarray, similar: float) -> np.ndarray:
+    """The rounds of ``grouped`` over lines of ``n`` tokens in falling rank: for each line, the place of its stem. Rows of ``tokens`` and ``pieces`` are hashes."""
+    _, codes = np.unique(pieces, return_inverse=True)
+    codes, stem, left = codes.reshape(pieces.shape), np.full(len(tokens), -1), np.arange(len(tokens))
+    first = np.empty(codes.max(initial=0) + 1, dtype=np.int64)
+    while len(left):
+        for k in range(codes.shape[1]):
+            first[codes[left[::-1], k]] = left[::-1]  # of equal places the last write stays, that of the greatest rank
+        tops = first[codes[left]]
+        leads = (tops == left[:, None]).all(axis=1)
+        stem[left[leads]] = left[leads]
+        left, tops = left[~leads], tops[~leads]
+        best = np.full(len(left), len(tokens))
+        for k in range(codes.shape[1]):
+            behind = np.flatnonzero(stem[tops[:, k]] >= 0)
+            for at in np.array_split(behind, 1 + len(behind) * n // CELLS):
+                near = at[(tokens[left[at]] == tokens[tops[at, k]]).sum(axis=1) >= similar * n]
+                best[near] = np.minimum(best[near], tops[near, k])
+        found = best < len(tokens)
+        stem[left[found]] = best[found]
+        left = left[~found]
+    return stem
+
+
+def led_here(left: DataFrame, similar: float) -> DataFrame:
+    """(leaf, th, stem) of all that is left, a table of bounded size, by ``led``: one look at it in place of a few jobs for each round."""
+    hashes = F.transform("tokens", lambda x: F.xxhash64(x))
+    rows = left.select("leaf", "n", "times", "th", "pieces", hashes.alias("tokens")).toArrow()
+    leaf, n, times, th = (rows.column(c).to_numpy() for c in ("leaf", "n", "times", "th"))
+    of = lambda c: (x := rows.column(c).combine_chunks(), np.asarray(x.flatten()), np.concatenate([[0], np.cumsum(np.asarray(x.value_lengths()))]).astype(np.int64))[1:]
+    (tokens, token_at), (pieces, piece_at) = of("tokens"), of("pieces")
+    stem = np.empty(len(th), dtype=np.int64)
+    order = np.lexsort((-1 - th, -times, n))  # -1 - x falls as x rises and never overflows
+    for at in np.split(order, np.flatnonzero(np.diff(n[order])) + 1) if len(order) else []:
+        grid = lambda flat, start: flat[start[at][:, None] + np.arange(start[at[0] + 1] - start[at[0]])]  # noqa: B023, E731
+        stem[at] = th[at[led(int(n[at[0]]), grid(tokens, token_at), grid(pieces, piece_at), similar)]]
+    return left.sparkSession.createDataFrame(pa.table({"leaf": leaf, "th": th, "stem": stem}))
+
+
+def grouped(kinds: DataFrame, similar: float, here: int = HERE) -> DataFrame:
     """(leaf, th, gid): th is a masked line's hash, gid that of the stem that it has joined, or its own.
 
     Two lines that are equal in ``similar`` of their places are equal in one whole part of ``n`` less the least matching places plus one
     parts, so a line is filed under its parts. A line that leads all its parts (by times, then hash) is a stem; lines similar to a stem of theirs
     join the greatest such, both go, and the rest is led anew until no two lines share a part. Rounds move hashes; texts meet only where a
-    line is held against a stem, and are read of those lines alone that are still left.
+    line is held against a stem, and are read of those lines alone that are still left. Each round settles the first line of each leaf at least, so
+    rounds end, but a leaf whose lines all share a part and are not similar has a round for each: the last few lines (``here`` tokens in all) are led in one go.
     """
     parts = F.least(F.col("n"), F.col("n") - F.ceil(F.lit(similar) * F.col("n")).cast("int") + 1)
     cut = lambda k: F.floor(k * F.col("n") / parts).cast("int")
@@ -78,7 +122,12 @@ def grouped(kinds: DataFrame, similar: float, max_rounds: int = 60) -> DataFrame
     texts = written(kinds.select("leaf", "n", "times", F.xxhash64("template").alias("th"), F.split("template", " ").alias("tokens")), "kinds")
     left, done = written(texts.withColumn("pieces", pieces), "pieces"), None
     drop_table(texts)
-    for _ in range(max_rounds):
+    while True:
+        size = left.agg(F.sum("n")).first()[0] or 0
+        if size <= here:
+            settled = written(led_here(left, similar), "settled")
+            done = settled if done is None else done.unionByName(settled)
+            return done.select("leaf", "th", F.xxhash64("leaf", "stem").alias("gid"))
         texts = left.select("leaf", "th", "tokens")
         filed = left.select("leaf", "n", "th", F.struct("times", "th").alias("rank"), F.explode("pieces").alias("part"))
         seen = filed.join(filed.groupBy("part").agg(F.max("rank").alias("top")), "part").withColumn("behind", F.when(F.col("top") != F.col("rank"), F.col("top")))
@@ -90,10 +139,9 @@ def grouped(kinds: DataFrame, similar: float, max_rounds: int = 60) -> DataFrame
         joined = near.groupBy("leaf", "th").agg(F.max("top").alias("top")).select("leaf", "th", F.col("top.th").alias("stem"))
         settled = written(stems.unionByName(joined), "settled")
         done = settled if done is None else done.unionByName(settled)
-        left = written(left.join(settled.select("leaf", "th"), ["leaf", "th"], "left_anti"), "pieces")
-        if left.isEmpty():
-            return done.select("leaf", "th", F.xxhash64("leaf", "stem").alias("gid"))
-    raise RuntimeError("line templates did not settle")
+        left, before = written(left.join(settled.select("leaf", "th"), ["leaf", "th"], "left_anti"), "pieces"), left
+        drop_table(before)
+        drop_table(state)
 
 
 def candidates(members: DataFrame, rules: tuple[tuple[int, int], ...]) -> DataFrame:

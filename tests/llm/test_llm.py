@@ -685,3 +685,22 @@ def test_toxicity_on_odd_rows(spark, odd, empty):
     assert len(got) == odd.count() and all(0 <= x.score <= 1 and x.predicted == int(x.score >= 0.5) for x in got)
     assert toxicity.classify(empty, marks).count() == 0
     assert toxicity.scored(odd, ({"one": 9.0}, -2.0), "s2").columns == [*odd.columns, "s2"]
+
+
+def kinds_of(spark, lines):
+    made = spark.createDataFrame([(x, k % 3) for k, x in enumerate(lines)], "template string, more long")
+    return made.select(F.xxhash64(F.size(F.split("template", " ")), F.substring_index("template", " ", 3)).alias("leaf"), F.size(F.split("template", " ")).alias("n"), "template", (F.col("more") + 1).alias("times"))
+
+
+def test_a_leaf_of_more_templates_than_rounds(spark):
+    """Ninety lines share their first three words and nothing else: each is a stem, one after the other."""
+    got = line_templates.grouped(kinds_of(spark, [f"the file was one{k} two{k} three{k}" for k in range(90)]), 0.8).collect()
+    assert len({r.gid for r in got}) == len(got) == 90
+
+
+def test_templates_led_in_one_go_are_those_of_the_rounds(spark):
+    r = random.Random(3)
+    words = [prose(1, 500 + k) for k in range(5)]
+    lines = sorted({" ".join(["all", "of", *(r.choice(words) for _ in range(n - 2))]) for n in (4, 6, 9, 13) for _ in range(25)})
+    rounds, whole = ({(x.leaf, x.th): x.gid for x in line_templates.grouped(kinds_of(spark, lines), 0.6, here).collect()} for here in (30, 10**6))
+    assert rounds == whole and len(set(whole.values())) < len(lines)
