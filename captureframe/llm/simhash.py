@@ -379,11 +379,22 @@ def links_left(texts: DataFrame, sections: DataFrame, roots: DataFrame, shingle:
     return dealt.join(shingles, "node").repartition(n, "block").sortWithinPartitions("block").mapInPandas(frugal(compare), "a long, b long")
 
 
-def one_per_group(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+def index_pairs(codes: DataFrame, max_bits: int) -> DataFrame:
+    """(a, b), a < b: nodes that the Gray-order index links by their fingerprints. ``codes`` is (node, fp); nodes of one fingerprint are linked to the least of them."""
+    least = written(codes.groupBy("fp").agg(F.min("node").alias("least")), "codes")
+    equal = codes.join(least, "fp").where("least < node").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    near = links(least.select("fp"), max_bits)
+    for end in ("a", "b"):
+        near = near.join(least.select(F.col("fp").alias(end), F.col("least").alias(f"node_{end}")), end)
+    return equal.union(near.select(F.least("node_a", "node_b"), F.greatest("node_a", "node_b")))
+
+
+def one_per_group(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, max_bits: int = 3) -> DataFrame:
     """The rows of ``docs`` without near copies: of each group of texts linked by ``similarity`` or more, the row of the least doc_id stays.
 
-    Whole-text SimHashes a few bits apart find copies with hardly an edit; for a similarity of 0.8 the bits that differ are too many
-    to be an index key. So sections of the shingle set are printed instead (see ``section_prints``) and looked up exactly; every
+    Texts whose SimHashes differ in ``max_bits`` bits or fewer are found by the index (see ``links``): copies with hardly an edit. For a similarity of
+    0.8 the bits that differ are too many to be an index key, so sections of the shingle set are printed by SimHash too (see ``section_prints``) and looked
+    up exactly; every pair of the index is compared whole, and every
     text that shares a print with others is compared, whole, with the least of them, and pairs under ``similarity`` are no links.
     Texts that share a print and are in different groups after that are compared with each other (see ``links_left``).
     Equal texts are folded first; null counts as empty. Null doc_ids come last in a group; a repeated row stays once, and of rows with one doc_id
@@ -399,12 +410,15 @@ def one_per_group(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) ->
 
     def prints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            got = [np.array(section_prints(t, shingle), dtype=np.uint64).astype(np.int64) for t in pdf["text"]]
-            yield pd.DataFrame({"node": np.repeat(pdf["node"].to_numpy(), [len(x) for x in got]), "print": np.concatenate(got) if got else []})
+            got = [np.array([fingerprint_of(t, shingle), *section_prints(t, shingle)], dtype=np.uint64).astype(np.int64) for t in pdf["text"]]
+            sizes = [len(x) for x in got]
+            yield pd.DataFrame({"node": np.repeat(pdf["node"].to_numpy(), sizes), "print": np.concatenate(got) if got else [], "whole": np.concatenate([np.arange(n) == 0 for n in sizes]) if got else []})
 
-    sections = written(texts.select("node", "text").mapInPandas(frugal(prints), "node long, print long").distinct(), "sections")
+    prints_of = written(texts.select("node", "text").mapInPandas(frugal(prints), "node long, print long, whole boolean").distinct(), "sections")
+    sections = prints_of.where("NOT whole").select("node", "print")
     least = sections.groupBy("print").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
-    pairs = written(sections.join(least, "print").where("a < node").select("a", F.col("node").alias("b")).distinct(), "pairs")
+    printed = sections.join(least, "print").where("a < node").select("a", F.col("node").alias("b"))
+    pairs = written(printed.union(index_pairs(prints_of.where("whole").select("node", F.col("print").alias("fp")), max_bits)).distinct(), "pairs")
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     needed = written(texts.join(ends, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "compared")
     both = pairs.join(needed.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").join(needed.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")

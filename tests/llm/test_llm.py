@@ -713,3 +713,10 @@ def test_templates_led_in_one_go_are_those_of_the_rounds(spark):
     lines = sorted({" ".join(["all", "of", *(r.choice(words) for _ in range(n - 2))]) for n in (4, 6, 9, 13) for _ in range(25)})
     rounds, whole = ({(x.leaf, x.th): x.gid for x in line_templates.grouped(kinds_of(spark, lines), 0.6, here).collect()} for here in (30, 10**6))
     assert rounds == whole and len(set(whole.values())) < len(lines)
+
+
+def test_near_copy_stage_links_by_the_index(spark):
+    """Fingerprints of equal bits, three bits apart and far apart: the index links the first two, whatever sections texts have."""
+    base = 0x0123456789ABCDEF
+    codes = spark.createDataFrame([(5, base), (3, base), (9, base ^ 0b111), (7, base ^ (0xFFFF << 20))], "node long, fp long")
+    assert {(x.a, x.b) for x in simhash.index_pairs(codes, 3).collect()} == {(3, 5), (3, 9)}
