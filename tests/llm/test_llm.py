@@ -720,3 +720,12 @@ def test_near_copy_stage_links_by_the_index(spark):
     base = 0x0123456789ABCDEF
     codes = spark.createDataFrame([(5, base), (3, base), (9, base ^ 0b111), (7, base ^ (0xFFFF << 20))], "node long, fp long")
     assert {(x.a, x.b) for x in simhash.index_pairs(codes, 3).collect()} == {(3, 5), (3, 9)}
+
+
+def test_line_stage_of_the_pipeline_takes_any_leaf(spark, tmp_path):
+    """Seventy unlike lines under one beginning, each in ten documents: all go, and the stage ends."""
+    import corpus_pipeline
+
+    rows = [(10 * k + i, f"{prose(25, 95_000 + 10 * k + i)}.\nthe file was one{'x' * k} two{'x' * k} three{'x' * k}", "en", "s", 0) for k in range(70) for i in range(10)]
+    out = corpus_pipeline.drop_recurring_lines(spark, spark.createDataFrame(rows, DOC), "")
+    assert out.where("text LIKE '%the file was%'").count() == 0
