@@ -62,7 +62,7 @@ def needed(n: Column, rules: tuple[tuple[int, int], ...]) -> Column:
     return F.coalesce(*[F.when(n >= tokens, documents) for tokens, documents in sorted(rules, reverse=True)])
 
 
-def matching(one: str, other: str) -> Column:
+def matching(one: Column, other: Column) -> Column:
     """The number of places in which two masked lines' tokens are equal."""
     return F.aggregate(F.zip_with(one, other, lambda a, b: F.when(a == b, 1).otherwise(0)), F.lit(0), lambda acc, x: acc + x)
 
@@ -93,7 +93,7 @@ def led(n: int, tokens: np.ndarray, pieces: np.ndarray, similar: float) -> np.nd
 
 def led_here(left: DataFrame, similar: float) -> DataFrame:
     """(leaf, th, stem) of all that is left, a table of bounded size, by ``led``: one look at it in place of a few jobs for each round."""
-    hashes = F.transform("tokens", lambda x: F.xxhash64(x))
+    hashes = F.transform(F.split("template", " "), lambda x: F.xxhash64(x))
     rows = left.select("leaf", "n", "times", "th", "pieces", hashes.alias("tokens")).toArrow()
     leaf, n, times, th = (rows.column(c).to_numpy() for c in ("leaf", "n", "times", "th"))
     of = lambda c: (x := rows.column(c).combine_chunks(), np.asarray(x.flatten()), np.concatenate([[0], np.cumsum(np.asarray(x.value_lengths()))]).astype(np.int64))[1:]
@@ -117,31 +117,35 @@ def grouped(kinds: DataFrame, similar: float, here: int = HERE) -> DataFrame:
     """
     parts = F.least(F.col("n"), F.col("n") - F.ceil(F.lit(similar) * F.col("n")).cast("int") + 1)
     cut = lambda k: F.floor(k * F.col("n") / parts).cast("int")
-    pieces = F.transform(F.sequence(F.lit(0), parts - 1), lambda k: F.xxhash64("leaf", k, F.slice("tokens", cut(k) + 1, cut(k + 1) - cut(k))))
-    # Tokens are written first: an expression of a column that is not there yet would be made again for each part.
-    texts = written(kinds.select("leaf", "n", "times", F.xxhash64("template").alias("th"), F.split("template", " ").alias("tokens")), "kinds")
-    left, done = written(texts.withColumn("pieces", pieces), "pieces"), None
-    drop_table(texts)
+    # A list of one holds the tokens, so that they are split once for all parts.
+    pieces = F.transform(F.array(F.split("template", " ")), lambda tokens: F.transform(F.sequence(F.lit(0), parts - 1), lambda k: F.xxhash64("leaf", k, F.slice(tokens, cut(k) + 1, cut(k + 1) - cut(k)))))
+    left, done = written(kinds.select("leaf", "n", "times", F.xxhash64("template").alias("th"), "template", pieces[0].alias("pieces")), "pieces"), None
     while True:
         size = left.agg(F.sum("n")).first()[0] or 0
         if size <= here:
             settled = written(led_here(left, similar), "settled")
             done = settled if done is None else done.unionByName(settled)
             return done.select("leaf", "th", F.xxhash64("leaf", "stem").alias("gid"))
-        texts = left.select("leaf", "th", "tokens")
-        filed = left.select("leaf", "n", "th", F.struct("times", "th").alias("rank"), F.explode("pieces").alias("part"))
-        seen = filed.join(filed.groupBy("part").agg(F.max("rank").alias("top")), "part").withColumn("behind", F.when(F.col("top") != F.col("rank"), F.col("top")))
+        # A template's hash tells its leaf, so that th alone is the key. A part that one line has puts none behind.
+        filed = left.select("th", "times", F.explode("pieces").alias("part"))
+        tops = filed.groupBy("part").agg(F.max(F.struct("times", "th")).alias("top"), F.count("*").alias("lines")).where("lines > 1").drop("lines")
+        behind = filed.join(tops, "part").where(F.col("top.th") != F.col("th"))
+        state = written(behind.groupBy("th").agg(F.collect_set("top").alias("tops")), "led")
         # A line that is behind in none of its parts is a stem, or alone.
-        state = written(seen.groupBy("leaf", "n", "th").agg(F.collect_set("behind").alias("tops")), "led")
-        stems = state.where("size(tops) = 0").select("leaf", "th", F.col("th").alias("stem"))
-        pairs = state.where("size(tops) > 0").select("leaf", "n", "th", F.explode("tops").alias("top")).withColumn("stem", F.col("top.th")).join(stems.select("leaf", "stem"), ["leaf", "stem"], "left_semi")
-        near = pairs.join(texts, ["leaf", "th"]).join(texts.select("leaf", F.col("th").alias("stem"), F.col("tokens").alias("other")), ["leaf", "stem"]).where(matching("tokens", "other") >= F.lit(similar) * F.col("n"))
+        stems = left.select("leaf", "th").join(bounded(state.select("th"), F.lit(8)), "th", "left_anti").select("leaf", "th", F.col("th").alias("stem"))
+        pairs = state.select("th", F.explode("tops").alias("top")).withColumn("stem", F.col("top.th")).join(stems.select("stem"), "stem", "left_semi")
+        pairs = written(pairs, "pairs")
+        wanted = bounded(pairs.select("stem"), F.lit(8))
+        others = left.select(F.col("th").alias("stem"), F.col("template").alias("other")).join(wanted, "stem", "left_semi")
+        near = left.select("leaf", "n", "th", "template").join(bounded(pairs, F.lit(40)), "th").join(others, "stem")
+        near = near.where(matching(F.split("template", " "), F.split("other", " ")) >= F.lit(similar) * F.col("n"))
         joined = near.groupBy("leaf", "th").agg(F.max("top").alias("top")).select("leaf", "th", F.col("top.th").alias("stem"))
         settled = written(stems.unionByName(joined), "settled")
         done = settled if done is None else done.unionByName(settled)
-        left, before = written(left.join(settled.select("leaf", "th"), ["leaf", "th"], "left_anti"), "pieces"), left
+        left, before = written(left.join(bounded(settled.select("th"), F.lit(8)), "th", "left_anti"), "pieces"), left
         drop_table(before)
         drop_table(state)
+        drop_table(pairs)
 
 
 def candidates(members: DataFrame, rules: tuple[tuple[int, int], ...]) -> DataFrame:
@@ -155,8 +159,8 @@ def recurring(lines: DataFrame, totals: DataFrame, similar: float, rules: tuple[
     """(key, text_key, line_no): the lines that go. ``lines`` are those of full leaves, ``totals`` the tokens of each document."""
     kinds = lines.groupBy("leaf", "n", "template").agg(F.count("*").alias("times"))
     named = grouped(kinds, similar)
-    members = written(lines.select("key", "text_key", "line_no", "n", "leaf", "th").join(named, ["leaf", "th"]).drop("leaf"), "members")
-    many = written(candidates(members, rules), "candidates")
+    members = written(lines.select("key", "text_key", "line_no", "n", "leaf", "th").join(bounded(named, F.lit(24)), ["leaf", "th"]).drop("leaf"), "members")
+    many = bounded(written(candidates(members, rules), "candidates"), F.lit(24))
     ids = F.array(F.struct(F.lit(0).alias("by"), F.col("gid").alias("id")), F.struct(F.lit(1).alias("by"), F.col("th").alias("id")))
     # One row for each line and each of its two names that is a candidate.
     held = members.withColumn("x", F.explode(ids)).select("key", "text_key", "line_no", "n", "gid", "x.by", "x.id").join(many, ["by", "id", "n"], "left_semi")
@@ -170,7 +174,7 @@ def recurring(lines: DataFrame, totals: DataFrame, similar: float, rules: tuple[
     signed = part.select("key", "text_key", F.array(*[F.when(copy, F.col(f"h{k}")).otherwise(F.xxhash64("text_key", F.lit(k))) for k in range(HASHES)]).alias("sigs"))
     seen = held.join(signed, ["key", "text_key"]).select("by", "id", "n", F.posexplode("sigs").alias("k", "sig")).distinct()
     counts = seen.groupBy("by", "id", "n", "k").agg(F.count("*").alias("documents")).groupBy("by", "id", "n").agg(F.min("documents").alias("documents"))
-    hit = written(counts.where(F.col("documents") >= needed(F.col("n"), rules)).drop("documents"), "recurring")
+    hit = bounded(written(counts.where(F.col("documents") >= needed(F.col("n"), rules)).drop("documents"), "recurring"), F.lit(24))
     return held.join(hit, ["by", "id", "n"], "left_semi").select("key", "text_key", "line_no").distinct()
 
 

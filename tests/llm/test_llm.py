@@ -729,3 +729,24 @@ def test_line_stage_of_the_pipeline_takes_any_leaf(spark, tmp_path):
     rows = [(10 * k + i, f"{prose(25, 95_000 + 10 * k + i)}.\nthe file was one{'x' * k} two{'x' * k} three{'x' * k}", "en", "s", 0) for k in range(70) for i in range(10)]
     out = corpus_pipeline.drop_recurring_lines(spark, spark.createDataFrame(rows, DOC), "")
     assert out.where("text LIKE '%the file was%'").count() == 0
+
+
+def shuffled_bytes(spark) -> int:
+    """What all stages so far wrote to shuffles."""
+    sc, gateway = spark.sparkContext, spark.sparkContext._gateway
+    found = sc._jsc.sc().statusStore().stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), None)
+    return sum(found.apply(k).shuffleWriteBytes() for k in range(found.size()))
+
+
+def test_rounds_of_templates_shuffle_hashes(spark):
+    """A round moves hashes of parts, and texts only of lines that are held against a stem: here of none."""
+    lines = [" ".join(f"{k:x}{j:x}word" for j in range(60)) for k in range(3000)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kinds = kinds_of(spark, lines).localCheckpoint()
+        before = shuffled_bytes(spark)
+        assert len({r.gid for r in line_templates.grouped(kinds, 0.8, 0).collect()}) == len(lines)
+        moved = shuffled_bytes(spark) - before
+        assert moved < 1.5 * sum(map(len, lines)), moved
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
