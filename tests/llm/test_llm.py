@@ -750,3 +750,13 @@ def test_rounds_of_templates_shuffle_hashes(spark):
         assert moved < 1.5 * sum(map(len, lines)), moved
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_starts_are_learned_from_all_training_rows(spark, monkeypatch):
+    """The mixers' starting weights come from every training token, and from every training word beyond the head."""
+    learned, own = [], context_mixing.averaged
+    monkeypatch.setattr(context_mixing, "averaged", lambda rows, names: learned.append(sum(r["n"] for r in rows)) or own(rows, names))
+    texts = [(k, prose(40, 7000 + k)) for k in range(60)]
+    got = context_mixing.score(spark.createDataFrame(texts, "doc_id long, text string"), head=50).collect()
+    words = {w for k, t in texts if zlib.crc32(str(k).encode()) % 7 != 2 for w in t.split()}
+    assert learned == [got[0].train_tokens, len(words) + 1 - 50]
