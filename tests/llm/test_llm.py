@@ -8,10 +8,12 @@ import math
 import random
 import re
 import struct
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -650,6 +652,41 @@ def test_search_leaves_blocks_unread():
     assert index.read < 0.9 * index.listed and whole.read == whole.listed == index.listed
 
 
+def test_queries_pass_a_shard_faster_than_by_their_postings():
+    """On random prose no block can be left out; queries together still take less time than a look at each one's postings, and find the same."""
+    r = np.random.default_rng(4)
+    share = np.cumsum(1 / np.arange(1, 20001))
+    texts = [" ".join(f"w{w}" for w in np.searchsorted(share / share[-1], r.random(300))) for _ in range(3000)]
+    held = topk_search.shard_of(list(range(3000)), texts)
+    shard, df = topk_search.Shard(held, 300.0, 64), held["df"]
+    number = {w: i for i, w in enumerate(held["words"].to_pylist())}
+    lists = [sorted(set(topk_search.tokens_of(t))) for t in texts[:256]]
+    weights = [np.log(1 + (3000.5 - df[[number[w] for w in x]]) / (df[[number[w] for w in x]] + 0.5)) for x in lists]
+    asked = topk_search.queries_of(np.arange(256), pa.array(lists, type=pa.list_(pa.binary())), np.concatenate(weights))
+    start, tfs = np.cumsum(df, dtype=np.int64) - df, held["tfs"].astype(float)
+    impact = tfs * 2.2 / (tfs + 1.2)  # all texts have the mean length
+
+    def by_postings() -> list:
+        out = []
+        for q, (x, w) in enumerate(zip(lists, weights, strict=True)):
+            at = np.array([number[y] for y in x])
+            posting = np.concatenate([np.arange(start[i], start[i] + df[i]) for i in at])
+            total = np.bincount(held["docs"][posting], impact[posting] * np.repeat(w, df[at]), minlength=3000)
+            total[held["ids"] == q] = 0
+            out.append([int(i) for i in held["ids"][np.lexsort((held["ids"], -total))[:10]]])
+        return out
+
+    def timed(f):
+        at = time.perf_counter()
+        out = f()
+        return time.perf_counter() - at, out
+
+    plain, want = timed(by_postings)
+    (first, got), (second, _) = (timed(lambda: list(shard.search(asked, 10, np.zeros(256)))) for _ in range(2))
+    assert [x[1].tolist() for x in got] == want
+    assert min(first, second) < plain
+
+
 def test_pipeline_on_planted_cases(spark, tmp_path):
     import corpus_pipeline
 
