@@ -797,3 +797,20 @@ def test_starts_are_learned_from_all_training_rows(spark, monkeypatch):
     got = context_mixing.score(spark.createDataFrame(texts, "doc_id long, text string"), head=50).collect()
     words = {w for k, t in texts if zlib.crc32(str(k).encode()) % 7 != 2 for w in t.split()}
     assert learned == [got[0].train_tokens, len(words) + 1 - 50]
+
+
+def test_starts_are_learned_in_steps_of_the_stream():
+    """A long text is learned from in fewer steps than it is priced in, and so in less time."""
+    r = np.random.default_rng(5)
+    counts = np.sort(r.integers(1, 2000, 300))[::-1]
+    kinds = context_mixing.Kinds(np.eye(context_mixing.FUNCTION), np.zeros(context_mixing.FUNCTION))
+    coder = context_mixing.Coder(context_mixing.Tree(counts), kinds, 16, [r.integers(0, 1 << 16, 1 << 16).astype(np.uint16) for _ in range(context_mixing.HASHED)])
+    ids = r.choice(300, 60_000, p=counts / counts.sum())
+
+    def seconds(learn: bool) -> float:
+        at = time.perf_counter()
+        coder.log_probability(ids, np.array([len(ids)]), np.zeros(len(ids), dtype=np.int64), learn=learn)
+        return time.perf_counter() - at
+
+    priced, learned = (min(seconds(x) for _ in range(3)) for x in (False, True))
+    assert learned < 0.75 * priced
