@@ -814,3 +814,48 @@ def test_starts_are_learned_in_steps_of_the_stream():
 
     priced, learned = (min(seconds(x) for _ in range(3)) for x in (False, True))
     assert learned < 0.7 * priced
+
+
+def test_java_loops_equal_the_numpy_ones(spark, monkeypatch):
+    """The executors' JVM runs the loops over words and bits; coded rows, counts and prices are those of the numpy forms."""
+    java = context_mixing.compiled(spark, "ContextMixing")
+    assert java is not None
+    words = sorted({*prose(300, 5).split(), "x"})
+    head = context_mixing.Head([w.encode() for w in words] + [b""])
+    counts = np.arange(len(words) + 2, 0, -1)
+    tree = context_mixing.Tree(counts)
+    has = np.random.default_rng(3).random((50, context_mixing.FUNCTION))
+    coder = context_mixing.Coder(tree, context_mixing.Kinds(has.T @ has / 50, has.mean(axis=0)), 16)
+    texts = [*(prose(60 + 40 * k, 5 + k % 3).upper() for k in range(12)), None, "", "\x1c a\x0bb\u00c4\u00e4  unheard Of", "x " * 700]
+    base = spark.createDataFrame([(k, t, k % 3 > 0) for k, t in enumerate(texts)], "doc_id long, text string, train boolean").selectExpr("doc_id", "cast(text AS binary) AS raw", "train")
+    path = context_mixing.new_path(spark, "test")
+    put = lambda name, arrays: context_mixing.put_arrays(f"{path}/{name}", arrays)
+    sent = put("head", context_mixing.head_arrays([*head], counts[:-1], 1000.0))
+    coded = {r.doc_id: r for r in java.rows(base.select("raw", "doc_id", "train"), "code", [sent], context_mixing.CODED).where("word IS NULL").collect()}
+    docs = []
+    for k, t in enumerate(texts):
+        ids, runs, hashes, _ = head.coded((t or "").encode().lower().split())
+        assert (coded[k].ids, coded[k].runs, coded[k].hashes) == (ids.tobytes(), runs.tobytes(), hashes.tobytes())
+        docs.append(ids.astype(np.int64))
+    lengths = np.array([len(x) for x in docs])
+    ids, start = np.concatenate(docs), np.repeat(np.cumsum(lengths) - lengths, lengths)
+    paths = put("paths", context_mixing.path_arrays(tree, coder.kinds, 16))
+    totals = [np.zeros(2 << 16, dtype=np.uint32) for _ in range(context_mixing.HASHED)]
+    coder.count(totals, ids, start)
+    rows = spark.createDataFrame(list(coded.values()), context_mixing.CODED)
+    got = context_mixing._gathered(java.rows(rows.select("ids"), "count", [paths], context_mixing.BLOCKS), [1 << 16] * context_mixing.HASHED)
+    coder.tables = [context_mixing.packed_counts(t) for t in totals]
+    assert all(np.array_equal(a, b) for a, b in zip(got, coder.tables, strict=True))
+    sent = put("tables", [*coder.tables, context_mixing.PAIR_CODE])
+    train = np.arange(len(texts)) % 3 > 0
+    want = coder.log_probability(ids, lengths, np.repeat(train.astype(np.int64), lengths))
+    cells = rows.select("key", "ids", "runs", "doc_id", "train", "n_tokens", "n_bytes", "n_known", "base")
+    priced = java.rows(cells, "price", [paths, sent, put("start", [coder.weights, coder.map])], context_mixing.PRICED)
+    sums = {r.key: r.ln for r in priced.groupBy("key").agg(F.sum("ln").alias("ln")).collect()}
+    for k, ln in enumerate(np.add.reduceat(want, np.cumsum(lengths) - lengths)):
+        assert sums[coded[k].key] == pytest.approx(ln, rel=1e-4)
+    got = {r.doc_id: r for r in context_mixing.score(base.selectExpr("doc_id", "cast(raw AS string) AS text"), head=50).collect()}
+    monkeypatch.setattr(context_mixing, "compiled", lambda *_: None)
+    for r in context_mixing.score(base.selectExpr("doc_id", "cast(raw AS string) AS text"), head=50).collect():
+        assert (got[r.doc_id].n_tokens, got[r.doc_id].n_known, got[r.doc_id].train_tokens) == (r.n_tokens, r.n_known, r.train_tokens)
+        assert got[r.doc_id].base_score == pytest.approx(r.base_score) and got[r.doc_id].score == pytest.approx(r.score, rel=0.01)
